@@ -95,11 +95,14 @@ def key_features(
     target: str = TARGET,
     row_id: str = ROW_ID,
     hot_rows: int | None = None,
+    hot: list | None = None,
+    mean: DataFrame | None = None,
 ) -> DataFrame:
     """All features of one key from a single shuffle.
 
     History always; `activity` names the column with the key's total rows; `overall` (compat only)
-    the one with its whole-table rate; `timeline` adds the time since the previous rows.
+    the one with its whole-table rate; `timeline` adds the time since the previous rows. `hot` and
+    `mean` take what the caller knows already of heavy keys and of the global rate.
     """
     y, ts, clicked = F.col(target), F.col(TS), F.col(target) == 1
     known = y.isNotNull().cast("int")
@@ -109,9 +112,9 @@ def key_features(
         sums={"_clicks": y, "_rows": F.lit(1), "_known": known},
         lasts={"_seen": ts, "_click": F.when(clicked, ts)} if timeline else {},
         totals=totals if activity or overall else {},
-        hot_rows=hot_rows,
+        hot_rows=hot_rows, hot=hot,
     )
-    out = with_global_mean(out, global_mean(df, target))
+    out = with_global_mean(out, global_mean(df, target) if mean is None else mean)
     columns = {
         f"ctr_{key}{suffix}": F.coalesce(F.try_divide("_clicks", "_known"), "_global_mean"),
         f"impressions_{key}{suffix}": F.col("_rows"),

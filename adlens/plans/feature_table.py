@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from adlens.functions.temporal import SECONDS_NEVER, seconds_between
 from adlens.operators import encoders, history
 from adlens.operators.normalize import interaction_key, temporal_features
+from adlens.operators.ordered import hot_values
 from adlens.operators.selection import Selection, select_features
 
 TS = "timestamp"
@@ -85,13 +86,17 @@ def basic_features(df: DataFrame, options: FeatureOptions = FeatureOptions()) ->
     """Temporal, key history, timeline and interaction features; steps without input are skipped."""
     columns = set(df.columns)
     if TS in columns:
+        keys = [k for k in KEYS if k in columns]
+        hot = hot_values(df, keys, options.hot_rows)
+        mean = history.global_mean(df, options.target)
         df = temporal_features(df)
-        for key, (suffix, activity, overall) in KEYS.items():
-            if key in columns:
-                df = history.key_features(
-                    df, key, suffix, activity, overall, timeline=key == "user_id", compat=options.compat,
-                    target=options.target, row_id=options.row_id, hot_rows=options.hot_rows,
-                )
+        for key in keys:
+            suffix, activity, overall = KEYS[key]
+            df = history.key_features(
+                df, key, suffix, activity, overall, timeline=key == "user_id", compat=options.compat,
+                target=options.target, row_id=options.row_id, hot_rows=options.hot_rows,
+                hot=hot[key], mean=mean,
+            )
     if {"device", "placement"} <= columns:
         df = interaction_key(df)
     if options.compat:
