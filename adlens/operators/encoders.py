@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlens.functions.hashing import hash_columns, md5_mod
+from adlens.operators.lookups import few_keys, join_lookup
 
 TARGET = "clicked"
 ROW_ID = "impression_id"
@@ -39,22 +40,28 @@ def fit_frequency(df: DataFrame, column: str) -> DataFrame:
         .groupBy(column)
         .agg(F.count(F.lit(1)).alias(f"{column}_freq"))
     )
-    top = counts.agg(F.max(f"{column}_freq").alias("_max"))
-    # Size bound: one row.
-    return counts.crossJoin(F.broadcast(top)).select(
-        column, f"{column}_freq", (F.col(f"{column}_freq") / F.col("_max")).alias(f"{column}_freq_norm")
-    )
+    top = counts.agg(F.max(f"{column}_freq")).scalar()
+    return counts.withColumn(f"{column}_freq_norm", F.col(f"{column}_freq") / top)
+
+
+def top_frequency(df: DataFrame, column: str) -> Column:
+    """Rows of the most frequent value, as a scalar subquery."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.agg(F.max("_n")).scalar()
 
 
 def apply_frequency(df: DataFrame, state: DataFrame, column: str) -> DataFrame:
     """Unseen and null keys have frequency 0."""
-    return df.join(state.select(column, f"{column}_freq", f"{column}_freq_norm"), column, "left").fillna(
-        0, subset=[f"{column}_freq", f"{column}_freq_norm"]
-    )
+    lookup = state.select(column, f"{column}_freq", f"{column}_freq_norm")
+    joined = join_lookup(df, lookup, [column], few_keys(state, [[column]])[0])
+    return joined.fillna(0, subset=[f"{column}_freq", f"{column}_freq_norm"])
 
 
 def frequency_encode(df: DataFrame, column: str) -> DataFrame:
-    return apply_frequency(df, fit_frequency(df, column), column)
+    small = few_keys(df, [[column]])[0]
+    return join_lookup(df, fit_frequency(df, column), [column], small).fillna(
+        0, subset=[f"{column}_freq", f"{column}_freq_norm"]
+    )
 
 
 @dataclass(frozen=True)
@@ -62,13 +69,14 @@ class KeyState:
     """Fitted encodings of one key column.
 
     `table`: key value, frequency, normalised frequency, target mean, and the count and target
-    sum of every fold. `global_mean`: one row.
+    sum of every fold. `global_mean`: one row. `small`: the table was checked to fit a broadcast.
     """
 
     column: str
     table: DataFrame
     global_mean: DataFrame
     hashed: bool
+    small: bool = False
 
 
 def fit_key(
@@ -79,6 +87,7 @@ def fit_key(
     n_folds: int = N_FOLDS,
     seed: int = SEED,
     hashed: bool = False,
+    small: bool | None = None,
 ) -> KeyState:
     y, fold = F.col(target), F.col("_fold")
     folded = df.filter(F.col(column).isNotNull()).select(
@@ -90,14 +99,15 @@ def fit_key(
             F.count(F.when(fold == i, y)).alias(f"_n{i}"),
             F.coalesce(F.sum(F.when(fold == i, y)), F.lit(0)).alias(f"_s{i}"),
         ]
-    counts = folded.groupBy(column).agg(F.count(F.lit(1)).alias(f"{column}_freq"), F.avg(y).alias(f"{column}_mean"), *per_fold)
-    top = counts.agg(F.max(f"{column}_freq").alias("_max"))
-    # Size bound: one row.
-    table = counts.crossJoin(F.broadcast(top)).select(
-        *counts.columns, (F.col(f"{column}_freq") / F.col("_max")).alias(f"{column}_freq_norm")
+    counts = folded.groupBy(column).agg(
+        F.count(F.lit(1)).alias(f"{column}_freq"), F.avg(y).alias(f"{column}_mean"), *per_fold
     )
+    top = counts.agg(F.max(f"{column}_freq")).scalar()
+    table = counts.withColumn(f"{column}_freq_norm", F.col(f"{column}_freq") / top)
     mean = df.agg(F.avg(target).alias("_global_mean"))
-    return KeyState(column, table, mean, hashed)
+    if small is None:
+        small = few_keys(df, [[column]])[0]
+    return KeyState(column, table, mean, hashed, small)
 
 
 def encode_fitted(
@@ -115,25 +125,31 @@ def encode_fitted(
     (`out_of_fold=False`) it is the stored mean. Keys without a value get the global mean.
     """
     c = state.column
-    joined = df.join(state.table, c, "left").crossJoin(F.broadcast(state.global_mean))
+    joined = join_lookup(df, state.table, [c], state.small)
     if out_of_fold:
-        fold = fold_of(F.col(row_id), n_folds, seed)
-        n_all = sum((F.col(f"_n{i}") for i in range(1, n_folds)), F.col("_n0"))
-        s_all = sum((F.col(f"_s{i}") for i in range(1, n_folds)), F.col("_s0"))
-        own_n = F.element_at(F.array(*[F.col(f"_n{i}") for i in range(n_folds)]), fold + 1)
-        own_s = F.element_at(F.array(*[F.col(f"_s{i}") for i in range(n_folds)]), fold + 1)
-        encoded = F.try_divide(s_all - own_s, n_all - own_n)
+        joined = joined.withColumn("_fold", fold_of(F.col(row_id), n_folds, seed))
+        encoded = out_of_fold_mean(F.col("_fold"), n_folds)
     else:
         encoded = F.col(f"{c}_mean")
+    mean = state.global_mean.select("_global_mean").scalar()
     return joined.select(
         *df.columns,
         F.coalesce(f"{c}_freq", F.lit(0)).alias(f"{c}_freq"),
         F.coalesce(f"{c}_freq_norm", F.lit(0.0)).alias(f"{c}_freq_norm"),
-        F.coalesce(encoded, "_global_mean").alias(f"{c}_target_enc"),
+        F.coalesce(encoded, mean).alias(f"{c}_target_enc"),
         *(hash_columns(F.coalesce(F.col(c).cast("string"), F.lit("nan")), c) if state.hashed else []),
     )
 
 
+def out_of_fold_mean(fold: Column, n_folds: int) -> Column:
+    """Target mean of a key without the row's own fold, from the columns `_n{i}` and `_s{i}`."""
+    n_all = sum((F.col(f"_n{i}") for i in range(1, n_folds)), F.col("_n0"))
+    s_all = sum((F.col(f"_s{i}") for i in range(1, n_folds)), F.col("_s0"))
+    own_n = F.element_at(F.array(*[F.col(f"_n{i}") for i in range(n_folds)]), fold + 1)
+    own_s = F.element_at(F.array(*[F.col(f"_s{i}") for i in range(n_folds)]), fold + 1)
+    return F.try_divide(s_all - own_s, n_all - own_n)
+
+
 def target_encode_oof(df: DataFrame, column: str, target: str = TARGET, row_id: str = ROW_ID, n_folds: int = N_FOLDS, seed: int = SEED) -> DataFrame:
     state = fit_key(df, column, target, row_id, n_folds, seed)
     encoded = encode_fitted(df, state, row_id, n_folds, seed)
@@ -190,11 +206,16 @@ def encode_all(
     row_id: str = ROW_ID,
     n_folds: int = N_FOLDS,
     seed: int = SEED,
+    source: DataFrame | None = None,
+    done: Sequence[str] = (),
 ) -> tuple[DataFrame, list[KeyState]]:
     """Encode every listed key column; detect the columns when none are listed.
 
     Naming both lists keeps this free of jobs. Otherwise columns over 1000 values are hashed too.
+    `source` is the narrow table `df` was made from: keys it has are fitted on it. The keys in
+    `done` are encoded already and only get their state and hash indicators.
     """
+    source = df if source is None else source
     if columns is None:
         found = detect_high_cardinality(df, target, exclude=[row_id])
         columns = list(found)
@@ -202,8 +223,18 @@ def encode_all(
             hashed = [c for c, n in found.items() if n > HASH_CARDINALITY]
     columns = [c for c in columns if c in df.columns]
     if hashed is None:
-        hashed = [c for c, n in distinct_counts(df, columns, [HASH_CARDINALITY]).items() if n > HASH_CARDINALITY]
-    states = [fit_key(df, c, target, row_id, n_folds, seed, c in hashed) for c in columns]
+        raw = [c for c in columns if c in source.columns]
+        counts = distinct_counts(source, raw, [HASH_CARDINALITY])
+        counts |= distinct_counts(df, [c for c in columns if c not in raw], [HASH_CARDINALITY])
+        hashed = [c for c, n in counts.items() if n > HASH_CARDINALITY]
+    states = []
+    for c in columns:
+        rows = source if c in source.columns else df
+        small = False if c in done else None
+        states.append(fit_key(rows, c, target, row_id, n_folds, seed, c in hashed, small))
     for state in states:
-        df = encode_fitted(df, state, row_id, n_folds, seed)
+        if state.column not in done:
+            df = encode_fitted(df, state, row_id, n_folds, seed)
+        elif state.hashed:
+            df = hash_features(df, state.column)
     return df, states

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions.temporal import SECONDS_NEVER, seconds_between
+from adlens.operators.encoders import N_FOLDS, SEED, fold_of, out_of_fold_mean, top_frequency
+from adlens.operators.lookups import few_keys, join_lookup
 from adlens.operators.ordered import running
 
 TARGET = "clicked"
@@ -40,18 +42,7 @@ def history_features(
 
     A row without history gets the global rate. Rows at the same time are ordered by row id.
     """
-    y = F.col(target)
-    out = running(
-        df, [key], [TS, row_id],
-        sums={"_clicks": y, "_rows": F.lit(1), "_known": y.isNotNull().cast("int")},
-        hot_rows=hot_rows,
-    )
-    out = with_global_mean(out, global_mean(df, target))
-    return out.select(
-        *df.columns,
-        F.coalesce(F.try_divide("_clicks", "_known"), "_global_mean").alias(f"ctr_{key}{suffix}"),
-        F.col("_rows").alias(f"impressions_{key}{suffix}"),
-    )
+    return key_features(df, key, suffix, target=target, row_id=row_id, hot_rows=hot_rows)
 
 
 def user_timeline(
@@ -91,32 +82,47 @@ def key_features(
     activity: str | None = None,
     overall: str | None = None,
     timeline: bool = False,
+    encode: bool = False,
     compat: bool = False,
     target: str = TARGET,
     row_id: str = ROW_ID,
+    n_folds: int = N_FOLDS,
+    seed: int = SEED,
     hot_rows: int | None = None,
     hot: list | None = None,
-    mean: DataFrame | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """All features of one key from a single shuffle.
 
     History always; `activity` names the column with the key's total rows; `overall` (compat only)
-    the one with its whole-table rate; `timeline` adds the time since the previous rows. `hot` and
-    `mean` take what the caller knows already of heavy keys and of the global rate.
+    the one with its whole-table rate; `timeline` adds the time since the previous rows; `encode`
+    adds the key's frequency and out-of-fold target encodings. `hot` gives the heavy keys where the
+    caller knows them. `source` is the narrow table `df` was made from: global figures are read
+    from it instead of repeating the steps in between.
     """
+    source = df if source is None else source
     y, ts, clicked = F.col(target), F.col(TS), F.col(target) == 1
     known = y.isNotNull().cast("int")
-    totals = {"_total_rows": F.lit(1), "_total_clicks": y, "_total_known": known}
+    fold = fold_of(F.col(row_id), n_folds, seed)
+    totals: dict[str, Column] = {}
+    if activity or encode:
+        totals["_total_rows"] = F.lit(1)
+    if overall and compat:
+        totals |= {"_total_clicks": y, "_total_known": known}
+    if encode:
+        # Counts and sums of every fold over the whole key need no window of their own.
+        for i in range(n_folds):
+            totals[f"_n{i}"] = F.when(F.col("_fold") == i, known).otherwise(0)
+            totals[f"_s{i}"] = F.when(F.col("_fold") == i, F.coalesce(y, F.lit(0))).otherwise(0)
     out = running(
-        df, [key], [TS, row_id],
+        df.withColumn("_fold", fold) if encode else df, [key], [TS, row_id],
         sums={"_clicks": y, "_rows": F.lit(1), "_known": known},
         lasts={"_seen": ts, "_click": F.when(clicked, ts)} if timeline else {},
-        totals=totals if activity or overall else {},
-        hot_rows=hot_rows, hot=hot,
+        totals=totals, hot_rows=hot_rows, hot=hot,
     )
-    out = with_global_mean(out, global_mean(df, target) if mean is None else mean)
+    mean = global_mean(source, target).scalar()
     columns = {
-        f"ctr_{key}{suffix}": F.coalesce(F.try_divide("_clicks", "_known"), "_global_mean"),
+        f"ctr_{key}{suffix}": F.coalesce(F.try_divide("_clicks", "_known"), mean),
         f"impressions_{key}{suffix}": F.col("_rows"),
     }
     if activity:
@@ -132,6 +138,11 @@ def key_features(
             columns["time_since_last_click"] = F.when(clicked, gap).otherwise(never)
         else:
             columns["time_since_click_safe"] = F.coalesce(since_click, never)
+    if encode:
+        frequency = F.coalesce("_total_rows", F.lit(0))
+        columns[f"{key}_freq"] = frequency
+        columns[f"{key}_freq_norm"] = F.coalesce(F.try_divide(frequency, top_frequency(source, key)), F.lit(0.0))
+        columns[f"{key}_target_enc"] = F.coalesce(out_of_fold_mean(F.col("_fold"), n_folds), mean)
     return out.select(*df.columns, *[c.alias(n) for n, c in columns.items()])
 
 
@@ -157,28 +168,30 @@ def group_means(
     groups: Mapping[str, Sequence[str]],
     target: str = TARGET,
     fill_global: Sequence[str] = (),
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Mean target of a whole group on each of its rows, for several groupings.
 
     Counts and sums are combined on the map side and joined back. Groupings that are coarser than
     another one listed are rolled up from its small result instead of read from the rows again.
+    `source` is the narrow table `df` was made from, if there is one.
     """
+    base = df if source is None else source
     y = F.col(target)
     names = sorted(groups, key=lambda n: -len(groups[n]))
     tables: dict[str, DataFrame] = {}
     for name in names:
         finer = next((n for n in tables if set(groups[name]) < set(groups[n])), None)
-        source = tables[finer] if finer else df.select(*groups[name], y.alias("_s"), y.isNotNull().cast("int").alias("_c"))
-        tables[name] = source.groupBy(*groups[name]).agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
+        rows = tables[finer] if finer else base.select(*groups[name], y.alias("_s"), y.isNotNull().cast("int").alias("_c"))
+        tables[name] = rows.groupBy(*groups[name]).agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
     out = df
-    for name in groups:
-        means = tables[name].select(*groups[name], F.try_divide("_s", "_c").alias(name))
-        out = out.join(means, list(groups[name]), "left")
-    if fill_global:
-        out = with_global_mean(out, global_mean(df, target)).withColumns(
-            {n: F.coalesce(F.col(n), F.col("_global_mean")) for n in fill_global}
-        )
-    return out.select(*df.columns, *groups)
+    for (name, keys), small in zip(groups.items(), few_keys(base, list(groups.values()))):
+        means = tables[name].select(*keys, F.try_divide("_s", "_c").alias(name))
+        out = join_lookup(out, means, keys, small)
+    mean = global_mean(df if source is None else source, target).scalar() if fill_global else None
+    return out.select(
+        *df.columns, *[F.coalesce(F.col(n), mean).alias(n) if n in fill_global else F.col(n) for n in groups]
+    )
 
 
 # Names of the reference's whole-group rates.
@@ -200,7 +213,8 @@ def group_rates(df: DataFrame, target: str = TARGET) -> DataFrame:
 
 def apply_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], value: str, default: Column) -> DataFrame:
     """A stored key-to-value table applied to rows; unseen and null keys get `default`."""
-    return df.join(lookup, list(keys), "left").withColumn(value, F.coalesce(F.col(value), default))
+    small = few_keys(lookup, [keys])[0]
+    return join_lookup(df, lookup, keys, small).withColumn(value, F.coalesce(F.col(value), default))
 
 
 def unseen_keys(df: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:

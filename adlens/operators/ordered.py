@@ -77,6 +77,7 @@ def running(
     inclusive: bool = False,
     hot_rows: int | None = None,
     hot: list | None = None,
+    segments: int | None = None,
 ) -> DataFrame:
     """Add running values per key in ascending `order`, which must be unique within a key.
 
@@ -85,7 +86,8 @@ def running(
     `totals`: sum over all rows of the key.
     With `inclusive` the current row counts as an earlier one. All values of one call share one
     shuffle. Rows whose key is null get null values and take no part. `hot` gives the result of
-    `hot_keys` where the caller knows it already.
+    `hot_keys` where the caller knows it already; `segments` sets into how many ranges their rows
+    are cut (0 leaves it to adaptive execution).
     """
     sums, lasts, totals = dict(sums or {}), dict(lasts or {}), dict(totals or {})
     keys, order = list(keys), list(order)
@@ -94,7 +96,8 @@ def running(
     if not hot:
         return _running_plain(df, keys, keys, order, sums, lasts, totals, inclusive)
     cold_rows, hot_rows_df = split_hot(df, keys, hot)
-    segments = min(MAX_SEGMENTS, max(2, ceil(sum(r["_rows"] for r in hot) / (hot_rows or HOT_ROWS))))
+    if segments is None:
+        segments = min(MAX_SEGMENTS, max(2, ceil(sum(r["_rows"] for r in hot) / (hot_rows or HOT_ROWS))))
     return _running_plain(cold_rows, keys, keys, order, sums, lasts, totals, inclusive).unionByName(
         _running_segmented(hot_rows_df, keys, order, sums, lasts, totals, inclusive, segments)
     )
@@ -103,24 +106,28 @@ def running(
 def _running_plain(df, keys, partition, order, sums, lasts, totals, inclusive) -> DataFrame:
     # A null key is no group. Spreading such rows over the order columns keeps them out of one
     # task; their values are overwritten with null below.
-    known = None
-    for k in keys:
-        known = F.col(k).isNotNull() if known is None else known & F.col(k).isNotNull()
-    spread = F.when(~known, F.xxhash64(*order)) if keys else F.lit(None)
-    everything = W.partitionBy(*partition, spread)
+    nullable = [k for k in keys if df.schema[k].nullable]
+    known = F.lit(True)
+    for k in nullable:
+        known = known & F.col(k).isNotNull()
+    if nullable:
+        df = df.withColumn("_spread", F.when(~known, F.xxhash64(*order)))
+        partition = [*partition, "_spread"]
+    # Shuffling before the expressions below keeps their values out of the shuffle.
+    df = df.repartition(*partition)
+    everything = W.partitionBy(*partition)
     frame = everything.orderBy(*order).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
     columns = {n: F.when(known, F.coalesce(F.sum(e).over(frame), F.lit(0))) for n, e in sums.items()}
     columns |= {n: F.when(known, F.last(e, ignorenulls=True).over(frame)) for n, e in lasts.items()}
     columns |= {n: F.when(known, F.sum(e).over(everything)) for n, e in totals.items()}
-    return df.select("*", *[c.alias(n) for n, c in columns.items()])
+    return df.select(*[c for c in df.columns if c != "_spread"], *[c.alias(n) for n, c in columns.items()])
 
 
 def _running_segmented(df, keys, order, sums, lasts, totals, inclusive, segments) -> DataFrame:
     # The segment number depends on the physical partitioning, so the rows are written once.
-    rows = materialise(
-        df.repartitionByRange(segments, *keys, *order).withColumn("_segment", F.spark_partition_id()),
-        "segments",
-    )
+    ranges = [segments] if segments else []
+    ranged = df.repartitionByRange(*ranges, *keys, *order)
+    rows = materialise(ranged.withColumn("_segment", F.spark_partition_id()), "segments")
     local = _running_plain(rows, keys, [*keys, "_segment"], order, sums, lasts, {}, inclusive)
     position = F.struct(*order)
     per_segment = rows.groupBy(*keys, "_segment").agg(
@@ -177,20 +184,19 @@ def value_counts_running(
 ) -> DataFrame:
     """One row per key and distinct value, with the weights summed at it (`n_*`) and below it (`b_*`).
 
-    Ties collapse in the map-side combine before anything is ordered.
+    Ties collapse in the map-side combine before anything is ordered. Heavy keys are looked for in
+    the rows, where that is cheap; they have at least as many rows as distinct values.
     """
-    tied = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(*[F.sum(w).alias(f"n_{n}") for n, w in weights.items()])
-    )
+    present = df.filter(F.col(value).isNotNull())
+    tied = present.groupBy(*keys, value).agg(*[F.sum(w).alias(f"n_{n}") for n, w in weights.items()])
     return running(
         tied,
         keys,
         [value],
         sums={f"b_{n}": F.col(f"n_{n}") for n in weights},
         totals={f"t_{n}": F.col(f"n_{n}") for n in weights},
-        hot_rows=hot_rows,
+        hot=hot_keys(present, keys, hot_rows),
+        segments=0,
     )
 
 

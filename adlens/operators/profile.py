@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adlens.operators.lookups import few_keys, join_lookup
 from adlens.operators.ordered import exact_quantiles
 from adlens.operators.normalize import numeric_columns
 from adlens.schemas import DAY_NAMES
@@ -282,12 +283,8 @@ def user_target_stats(df: DataFrame, entity: str = "user_id", target: str = TARG
 
 
 def join_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Put group statistics onto rows.
-
-    No broadcast hint: Spark broadcasts `stats` when its measured size allows and otherwise
-    shuffles, splitting the rows of a heavy key over several tasks.
-    """
-    return df.join(stats, list(keys), "left")
+    """Put group statistics onto rows."""
+    return join_lookup(df, stats, keys, few_keys(df, [keys])[0])
 
 
 def activity_level(df: DataFrame, entity: str, name: str) -> DataFrame:
@@ -305,7 +302,8 @@ def click_ratio(df: DataFrame, target: str = TARGET) -> DataFrame:
     """Clicks of the user per click of the ad (plus one)."""
     users = df.groupBy("user_id").agg(F.sum(target).alias("user_clicks"))
     ads = df.groupBy("ad_id").agg(F.sum(target).alias("ad_clicks"))
-    joined = join_stats(join_stats(df, users, ["user_id"]), ads, ["ad_id"])
+    few_users, few_ads = few_keys(df, [["user_id"], ["ad_id"]])
+    joined = join_lookup(join_lookup(df, users, ["user_id"], few_users), ads, ["ad_id"], few_ads)
     return joined.withColumn("user_ad_click_ratio", F.col("user_clicks") / (F.col("ad_clicks") + 1))
 
 

@@ -14,9 +14,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adlens.functions.hashing import hash_rank
+from adlens.operators.lookups import few_keys
 
 ROW_ID = "impression_id"
 HEX_DIGITS = 4
+MAX_STRATA = 10_000
 
 
 def label_by_rank(
@@ -56,10 +58,16 @@ def label_by_rank(
             "_final": label_at(F.col("_start") + F.col("_n") - 1, F.col("_total")),
         }
     )
-    match = F.col("_cell") == F.col("_c")
+    # A label owns a run of whole cells, and at most one cell lies across each boundary: a stratum
+    # is described by fewer than twice as many intervals as there are labels.
+    intervals = cells.groupBy(*in_stratum, "_first", "_final").agg(
+        F.min("_c").alias("_from"), F.max("_c").alias("_to"), F.min("_start").alias("_start"), F.max("_total").alias("_total")
+    )
+    match = F.col("_cell").between(F.col("_from"), F.col("_to"))
     for i, s in enumerate(strata):
         match &= F.col(s).eqNullSafe(F.col(f"_stratum{i}"))
-    tagged = hashed.join(cells, match)
+    small = few_keys(df, [strata], MAX_STRATA)[0] if strata else True
+    tagged = hashed.join(F.broadcast(intervals) if small else intervals, match)
     whole = tagged.filter(F.col("_first") == F.col("_final")).withColumn(name, F.col("_first"))
     place = F.row_number().over(W.partitionBy(*in_stratum, "_cell").orderBy("_hash", row_id))
     divided = tagged.filter(F.col("_first") != F.col("_final")).withColumn("_place", place)

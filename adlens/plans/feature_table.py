@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adlens.functions.temporal import SECONDS_NEVER, seconds_between
@@ -18,6 +19,7 @@ from adlens.operators import encoders, history
 from adlens.operators.normalize import interaction_key, temporal_features
 from adlens.operators.ordered import hot_values
 from adlens.operators.selection import Selection, select_features
+from adlens.sources.materialise import materialise
 
 TS = "timestamp"
 
@@ -82,27 +84,34 @@ class FeatureState:
         return FeatureState(FeatureOptions(**manifest.pop("options")), tables, **manifest)
 
 
+def fused_keys(df: DataFrame, options: FeatureOptions) -> list[str]:
+    """Keys whose encodings come out of the shuffle that computes their history."""
+    if not (options.create_basic and options.create_advanced) or TS not in df.columns:
+        return []
+    return [c for c in options.high_card_columns or () if c in KEYS and c in df.columns]
+
+
 def basic_features(df: DataFrame, options: FeatureOptions = FeatureOptions()) -> DataFrame:
     """Temporal, key history, timeline and interaction features; steps without input are skipped."""
-    columns = set(df.columns)
+    source, columns = df, set(df.columns)
     if TS in columns:
         keys = [k for k in KEYS if k in columns]
         hot = hot_values(df, keys, options.hot_rows)
-        mean = history.global_mean(df, options.target)
-        df = temporal_features(df)
         for key in keys:
             suffix, activity, overall = KEYS[key]
             df = history.key_features(
                 df, key, suffix, activity, overall, timeline=key == "user_id", compat=options.compat,
-                target=options.target, row_id=options.row_id, hot_rows=options.hot_rows,
-                hot=hot[key], mean=mean,
+                encode=key in fused_keys(source, options), target=options.target, row_id=options.row_id,
+                n_folds=options.n_folds, seed=options.seed, hot_rows=options.hot_rows, hot=hot[key], source=source,
             )
+        # Columns of the row itself come last, so that no shuffle carries them.
+        df = temporal_features(df)
     if {"device", "placement"} <= columns:
         df = interaction_key(df)
     if options.compat:
         rates = {n: c for n, c in PAIR_RATES.items() if set(c) <= columns}
         filled = [n for n in FILL_GLOBAL if n in rates]
-        df = history.group_means(df, rates, options.target, filled)
+        df = history.group_means(df, rates, options.target, filled, source)
     return df
 
 
@@ -147,7 +156,7 @@ def fit_transform(df: DataFrame, options: FeatureOptions = FeatureOptions()) ->
     if options.create_advanced:
         out, states = encoders.encode_all(
             out, options.high_card_columns, options.hashed_columns, options.target, options.row_id,
-            options.n_folds, options.seed,
+            options.n_folds, options.seed, source=df, done=fused_keys(df, options),
         )
         for key_state in states:
             tables[f"enc_{key_state.column}"] = key_state.table
@@ -168,17 +177,19 @@ def _apply_key(df: DataFrame, state: FeatureState, key: str) -> DataFrame:
     """History features of a row that comes after the fitted log."""
     suffix, activity, overall = KEYS[key]
     ts, compat = F.col(TS), state.options.compat
-    joined = df.join(state.tables[f"key_{key}"], key, "left").crossJoin(F.broadcast(state.tables["global_mean"]))
+    # Saved tables have a known size, from which Spark chooses the join.
+    joined = df.join(state.tables[f"key_{key}"], key, "left")
+    mean = state.tables["global_mean"].select("_global_mean").scalar()
     rate = F.try_divide("_clicks", "_known")
     rows = F.coalesce("_rows", F.lit(0))
     columns = {
-        f"ctr_{key}{suffix}": F.coalesce(rate, "_global_mean"),
+        f"ctr_{key}{suffix}": F.coalesce(rate, mean),
         f"impressions_{key}{suffix}": rows,
     }
     if activity:
         columns[activity] = rows
     if compat:
-        columns[overall] = F.coalesce(rate, "_global_mean")
+        columns[overall] = F.coalesce(rate, mean)
     if key == "user_id":
         never = F.lit(float(SECONDS_NEVER))
         since_click = F.coalesce(seconds_between(F.col("_click"), ts), never)
@@ -204,8 +215,8 @@ def transform(df: DataFrame, state: FeatureState, select: bool = True) -> DataFr
             out = interaction_key(out)
         for name in state.rates:
             joined = out.join(state.tables[f"rate_{name}"], list(PAIR_RATES[name]), "left")
-            joined = joined.crossJoin(F.broadcast(state.tables["global_mean"]))
-            out = joined.select(*out.columns, F.coalesce(name, "_global_mean").alias(name))
+            mean = state.tables["global_mean"].select("_global_mean").scalar()
+            out = joined.select(*out.columns, F.coalesce(F.col(name), mean).alias(name))
     for column in state.encoded:
         key_state = encoders.KeyState(
             column, state.tables[f"enc_{column}"], state.tables["global_mean"], column in state.hashed
@@ -229,7 +240,7 @@ def create_features(
 
     df = read_table(spark, input_path)
     if options.row_id not in df.columns:
-        df = with_row_id(df, options.row_id)
+        df = materialise(with_row_id(df, options.row_id), "rows")
     if sample_frac is not None:
         df = stratified_sample(df, sample_frac, (options.target,), options.row_id, options.seed)
     features, state = fit_transform(df, options)
@@ -240,13 +251,15 @@ def create_features(
 
 
 def with_row_id(df: DataFrame, name: str = "impression_id") -> DataFrame:
-    """A unique id from the row's content; equal rows are told apart by their copy number.
+    """A unique id: digest of the row, input partition, and number of the copy within it.
 
-    Unlike a generated id it comes out the same however often and wherever the rows are read.
+    Copies of one row are numbered per input partition, so a row repeated without end still
+    spreads over all tasks. Write the result before using it twice: another reading of the input
+    may cut it in other partitions.
     """
-    from pyspark.sql import Window as W
-
     digest = F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).cast("binary"))
-    copies = W.partitionBy("_digest").orderBy("_digest")
-    numbered = df.withColumn("_digest", digest).withColumn("_copy", F.row_number().over(copies))
-    return numbered.withColumn(name, F.concat_ws("-", "_digest", F.col("_copy").cast("string"))).drop("_digest", "_copy")
+    marked = df.withColumns({"_digest": digest, "_part": F.spark_partition_id()})
+    copies = W.partitionBy("_digest", "_part").orderBy("_digest")
+    numbered = marked.withColumn("_copy", F.row_number().over(copies))
+    row_id = F.concat_ws("-", "_digest", F.col("_part").cast("string"), F.col("_copy").cast("string"))
+    return numbered.select(*df.columns, row_id.alias(name))

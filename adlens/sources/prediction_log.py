@@ -57,14 +57,15 @@ def training_rows(df: DataFrame, target: str = "clicked") -> DataFrame:
 
 
 def write_by_day(df: DataFrame, path: str, cluster: tuple[str, ...] = (), mode: str = "append") -> None:
-    """Day-partitioned parquet, sorted by the cluster columns inside each file.
+    """Day-partitioned parquet, clustered by the given columns.
 
-    Rows are shuffled by day and a few sub-buckets, so a day gets several files of similar size
-    and no day, however heavy, is written by a single task.
+    Rows are range-partitioned by day, cluster columns and a hash of the row: a day gets as many
+    files as its size asks for, a heavy day or model is divided among tasks, and each file covers
+    few models and devices, which lets readers skip it.
     """
     dated = df.withColumn("date", F.to_date("timestamp"))
-    spread = F.pmod(F.xxhash64(*df.columns[:2], "timestamp"), F.lit(32))
-    ordered = dated.repartition("date", spread).sortWithinPartitions("date", *cluster)
+    spread = F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")])
+    ordered = dated.repartitionByRange("date", *cluster, spread).sortWithinPartitions("date", *cluster)
     ordered.write.mode(mode).partitionBy("date").parquet(path)
 
 
