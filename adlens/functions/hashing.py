@@ -23,6 +23,11 @@ def md5_mod(text: Column, n: int) -> Column:
     return ((high + middle + piece(31, 2)) % n).cast("int")
 
 
+def hash_bucket(text: Column, n: int) -> Column:
+    """A bucket in 0 .. n-1 from the first 60 bits of the md5; cheaper than the whole of it."""
+    return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint") % n).cast("int")
+
+
 def hash_rank(row_id: Column, seed: int = 42) -> Column:
     """Pseudo-random order key of a row: 32 hex digits, uniform and reproducible."""
     return F.md5(F.concat(F.lit(f"{seed}:"), row_id.cast("string")).cast("binary"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adlens.functions.hashing import hash_columns, md5_mod
+from adlens.functions.hashing import hash_bucket, hash_columns, md5_mod
 from adlens.operators.lookups import few_keys, join_lookup
 
 TARGET = "clicked"
@@ -26,7 +26,7 @@ HASH_CARDINALITY = 1000
 
 def fold_of(row_id: Column, n_folds: int = N_FOLDS, seed: int = SEED) -> Column:
     """Cross-validation fold of a row, from its id alone."""
-    return md5_mod(F.concat(F.lit(f"{seed}:"), row_id.cast("string")), n_folds)
+    return hash_bucket(F.concat(F.lit(f"{seed}:"), row_id.cast("string")), n_folds)
 
 
 def kfold_assign(df: DataFrame, row_id: str = ROW_ID, n_folds: int = N_FOLDS, seed: int = SEED) -> DataFrame:

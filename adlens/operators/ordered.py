@@ -158,16 +158,19 @@ def _running_segmented(df, keys, order, sums, lasts, totals, inclusive, segments
 
 
 def last_n(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, lanes: int = 256
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, lanes: int = 256, prune: bool = True
 ) -> DataFrame:
     """The `n` latest rows of every key by ascending `order`, exact for keys of any size.
 
-    Each input partition keeps its own latest rows, `lanes` tasks per key merge them, and one
-    task merges the lanes: no task sees more than lanes * n rows of a key. The lane is only a
-    meeting point; any spread of rows over lanes gives the same result.
+    With a timestamp as first order column, rows per key and hour are counted first, and hours that
+    cannot hold one of the latest `n` rows are left out before anything is shuffled. What remains
+    is ranked by `lanes` tasks per key and then by one, which sees at most lanes * n rows. The lane
+    is only a meeting point: any spread of rows over lanes gives the same result.
     """
+    if prune and df.schema[order[0]].dataType.typeName().startswith("timestamp"):
+        df = _recent_hours(df, keys, order[0], n)
     latest = [F.col(c).desc() for c in order]
-    lane = df.withColumn("_lane", F.pmod(F.spark_partition_id(), F.lit(lanes)))
+    lane = df.withColumn("_lane", F.pmod(F.xxhash64(*order), F.lit(lanes)))
     by_lane = W.partitionBy(*keys, "_lane").orderBy(*latest)
     by_key = W.partitionBy(*keys).orderBy(*latest)
     return (
@@ -179,6 +182,25 @@ def last_n(
     )
 
 
+def _recent_hours(df: DataFrame, keys: Sequence[str], ts: str, n: int) -> DataFrame:
+    """Rows from the latest hour on that still has `n` rows of the key at or after it."""
+    hour = F.timestamp_diff("HOUR", F.lit("1970-01-01").cast(df.schema[ts].dataType), F.col(ts))
+    # Rows without a time are the oldest.
+    marked = df.withColumn("_hour", F.coalesce(hour, F.lit(-(10**9))))
+    own = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
+    names = [f"_key{i}" for i in range(len(keys))]
+    cells = marked.groupBy(*own, "_hour").agg(F.count(F.lit(1)).alias("_rows"))
+    later = W.partitionBy(*names).orderBy(F.desc("_hour")).rowsBetween(W.unboundedPreceding, -1)
+    after = F.coalesce(F.sum("_rows").over(later), F.lit(0))
+    needed = cells.withColumn("_after", after).filter(F.col("_after") < n)
+    # One row per key, written so that Spark knows its size when it plans the join.
+    cutoffs = materialise(needed.groupBy(*names).agg(F.min("_hour").alias("_cutoff")), "cutoffs")
+    match = F.col("_hour") >= F.col("_cutoff")
+    for k, name in zip(keys, names):
+        match &= F.col(k).eqNullSafe(F.col(name))
+    return marked.join(cutoffs, match).select(*df.columns)
+
+
 def value_counts_running(
     df: DataFrame, keys: Sequence[str], value: str, weights: Mapping[str, Column], hot_rows: int | None = None
 ) -> DataFrame:

@@ -14,11 +14,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adlens.functions.hashing import hash_rank
-from adlens.operators.lookups import few_keys
+from adlens.sources.materialise import materialise
 
 ROW_ID = "impression_id"
 HEX_DIGITS = 4
-MAX_STRATA = 10_000
 
 
 def label_by_rank(
@@ -66,8 +65,8 @@ def label_by_rank(
     match = F.col("_cell").between(F.col("_from"), F.col("_to"))
     for i, s in enumerate(strata):
         match &= F.col(s).eqNullSafe(F.col(f"_stratum{i}"))
-    small = few_keys(df, [strata], MAX_STRATA)[0] if strata else True
-    tagged = hashed.join(F.broadcast(intervals) if small else intervals, match)
+    # Written, so that both uses share one count and Spark knows the size when it plans the joins.
+    tagged = hashed.join(materialise(intervals, "intervals"), match)
     whole = tagged.filter(F.col("_first") == F.col("_final")).withColumn(name, F.col("_first"))
     place = F.row_number().over(W.partitionBy(*in_stratum, "_cell").orderBy("_hash", row_id))
     divided = tagged.filter(F.col("_first") != F.col("_final")).withColumn("_place", place)

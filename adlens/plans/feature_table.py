@@ -164,6 +164,8 @@ def fit_transform(df: DataFrame, options: FeatureOptions = FeatureOptions()) ->
             if key_state.hashed:
                 state.hashed.append(key_state.column)
     if options.apply_selection:
+        # Every step of the selection reads the features again.
+        out = materialise(out, "features")
         chosen = select_features(
             out, options.target, (options.row_id,), options.remove_low_variance, options.remove_correlated,
             options.by_importance, options.n_features,

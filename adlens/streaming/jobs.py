@@ -135,7 +135,7 @@ class LastRows:
             earlier = spark.read.schema(batch.schema).parquet(f"{self.path}/slot={(epoch - 1) % 2}")
             rows = batch.unionByName(earlier)
         target = f"{self.path}/slot={epoch % 2}"
-        last_n(rows, [MODEL], monitor.ORDER, self.n).write.mode("overwrite").parquet(target)
+        last_n(rows, [MODEL], monitor.ORDER, self.n, prune=False).write.mode("overwrite").parquet(target)
         return spark.read.schema(batch.schema).parquet(target)
 
 

@@ -90,7 +90,7 @@ def _prior(expression: str, key: str) -> str:
     return f"{expression} OVER (PARTITION BY {key} ORDER BY timestamp, impression_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 
 
-_FOLD = fx.sql_md5_mod("'42:' || impression_id", 5)
+_FOLD = fx.sql_hash_bucket("'42:' || impression_id", 5)
 _MEAN = "(SELECT avg(clicked) FROM impressions)"
 
 

@@ -139,7 +139,7 @@ def _(spark, sf):
     return sampling.split_train_val_test(fx.impressions(spark, sf)).select("impression_id", "split")
 
 
-_FOLD = fx.sql_md5_mod("'42:' || impression_id", 5)
+_FOLD = fx.sql_hash_bucket("'42:' || impression_id", 5)
 
 
 @case("kfold_assign", f"SELECT impression_id, {_FOLD} AS fold FROM impressions", "impressions")

@@ -144,7 +144,7 @@ def baseline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Larger labelled table: line items, the target being a return."""
     return table(spark, sf_dir, "lineitem").selectExpr(
-        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax) AS impression_id",
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT)) AS impression_id",
         "l_partkey AS user_id",
         "l_suppkey AS ad_id",
         "l_linestatus AS device",
@@ -162,6 +162,11 @@ def sql_md5_mod(text: str, n: int) -> str:
     return _MD5.format(m=f"md5({text})", n=n, k=2**64 % n)
 
 
+def sql_hash_bucket(text: str, n: int) -> str:
+    """DuckDB: bucket from the first 60 bits of the md5."""
+    return f"CAST((('0x'||substr(md5({text}),1,15))::UBIGINT % {n}) AS INT)"
+
+
 CTE = {
     "impressions": """SELECT event_id AS impression_id, user_id,
   CAST(regexp_extract(props,'([0-9]+)',1) AS INT) AS ad_id,
@@ -209,7 +214,7 @@ FROM supplier""",
     "ab_log": "SELECT *, concat('t', user_id % 10) AS test_id FROM predictions",
     "ab_requests": "SELECT request_id, concat('t', user_id) AS test_id, user_id, latency_ms, error, timestamp FROM predictions",
     "baseline_rows": "SELECT * FROM predictions WHERE timestamp < TIMESTAMP '2024-01-11 00:00:00'",
-    "line_labels": """SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax) AS impression_id,
+    "line_labels": """SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT)) AS impression_id,
   l_partkey AS user_id, l_suppkey AS ad_id, l_linestatus AS device, l_shipdate AS timestamp, l_quantity AS quantity,
   CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS clicked
 FROM lineitem""",

@@ -53,7 +53,7 @@ def expected(df, inclusive):
 
 
 @pytest.mark.parametrize("inclusive", [False, True])
-@pytest.mark.parametrize("hot_rows", [None, 700, 100, 1])
+@pytest.mark.parametrize("hot_rows", [None, 700, 100, 25])
 def test_running_is_the_same_on_every_path(skewed, inclusive, hot_rows):
     assert computed(skewed, inclusive=inclusive, hot_rows=hot_rows) == expected(skewed, inclusive)
 
@@ -86,6 +86,17 @@ def test_last_n(skewed, lanes):
     assert sorted((r["key"], r["id"]) for r in got.collect()) == sorted((k, i) for k, v in want.items() for i in v[-7:])
 
 
+def test_last_n_reads_only_the_hours_it_needs(spark):
+    df = spark.range(5000).select(
+        (F.col("id") % 2).alias("key"), F.col("id"),
+        F.expr("CASE WHEN id < 10 THEN TIMESTAMP_NTZ '1969-12-31 22:30:00' ELSE timestampadd(MINUTE, CAST(id AS INT), TIMESTAMP_NTZ '2024-01-01') END").alias("ts"),
+    )
+    got = ordered.last_n(df, ["key"], ["ts", "id"], 45)
+    assert sorted(r["id"] for r in got.collect()) == list(range(4910, 5000))
+    assert ordered._recent_hours(df, ["key"], "ts", 45).count() <= 150
+    assert ordered.last_n(df, ["key"], ["ts", "id"], 10_000).count() == 5000
+
+
 @pytest.mark.parametrize("hot_rows", [None, 50])
 def test_exact_quantiles_follow_linear_interpolation(spark, hot_rows):
     rng = random.Random(3)
