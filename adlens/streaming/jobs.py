@@ -1,7 +1,7 @@
 """Structured Streaming over the prediction log.
 
 Inputs are streaming log rows with zone-less `timestamp`, as the batch operators take. Windows need
-an instant, so event time is read in the session zone; results are zone-less again.
+an instant, so event time is read as UTC whatever the session zone; results are zone-less again.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,13 +21,22 @@ MODEL = "model_name"
 
 
 def with_event_time(log: DataFrame, delay: str = "10 minutes", column: str = "timestamp", name: str = "event_time") -> DataFrame:
-    return log.withColumn(name, F.col(column).cast("timestamp")).withWatermark(name, delay)
+    instant = F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), F.col(column)))
+    return log.withColumn(name, instant).withWatermark(name, delay)
+
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01").cast("timestamp_ntz")
+
+
+def _zoneless(instant: str) -> Column:
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch())
 
 
 def _window_columns(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(
-        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+        _zoneless("window.start").alias("window_start"),
+        _zoneless("window.end").alias("window_end"),
         *columns,
     )
 

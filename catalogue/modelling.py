@@ -70,7 +70,21 @@ def _(spark, sf):
     return spark.createDataFrame(ranked[:3], "feature string, importance double")
 
 
-@case("select_features")
+_DROPPED = " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, CASE WHEN (SELECT var_pop({c}) FROM n) <= 0.01 THEN 'low variance' WHEN EXISTS (SELECT 1 FROM c JOIN v USING (feature_1)
+  WHERE feature_2 = '{c}' AND correlation > 0.95) THEN 'correlated' ELSE 'kept' END AS outcome"""
+    for c in _NAMES
+)
+
+
+# The variance of `partial`, whose gaps are filled with large values, never falls below the limit.
+@case(
+    "select_features",
+    _pair_sql().rstrip()
+    + ", v AS ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS feature_1 FROM n HAVING var_pop({c}) > 0.01" for c in _NAMES)
+    + f") SELECT feature, outcome FROM ({_DROPPED}) UNION ALL SELECT 'clicked', 'kept'",
+)
 def _(spark, sf):
     df = _numbers(spark, sf)
     chosen = selection.select_features(df)

@@ -86,21 +86,55 @@ def _(spark, sf):
     return rounded(jobs.drain(jobs.stream_ab_metrics(asked, fx.ab_tests(spark, sf))))
 
 
-@case("stream_drift")
+def _findings_sql(current: str, columns: str) -> str:
+    """Deviations of `current` (n, m, s, l) from a baseline whose prediction deviation is cut to 0.3."""
+    return f"""WITH base AS (SELECT model_name, avg(predicted_ctr) AS bm, stddev_pop(predicted_ctr) * 0.3 AS bs, avg(latency_ms) AS lm, stddev_pop(latency_ms) AS ls
+  FROM baseline_rows WHERE NOT error GROUP BY model_name),
+cur AS ({current}),
+j AS (SELECT *, abs(m - bm) / bs AS z, s / bs AS ratio, abs(l - lm) / ls AS lz FROM cur JOIN base USING (model_name))
+SELECT {columns}, 'mean_shift' AS type, CASE WHEN z > 3 THEN 'high' ELSE 'medium' END AS severity, round(z, 5) AS score, round(bm, 5) AS baseline_value, round(m, 5) AS current_value FROM j WHERE z > 2
+UNION ALL SELECT {columns}, 'variance_change', CASE WHEN ratio > 2 OR ratio < 0.5 THEN 'high' ELSE 'medium' END, round(ratio, 5), round(bs, 5), round(s, 5) FROM j WHERE ratio > 1.5 OR ratio < 0.67
+UNION ALL SELECT {columns}, 'latency_anomaly', CASE WHEN lz > 3 THEN 'high' ELSE 'medium' END, round(lz, 5), round(lm, 5), round(l, 5) FROM j WHERE lz > 2"""
+
+
+def _baseline(spark, sf):
+    fitted = monitor.baseline_fit(fx.baseline_rows(spark, sf))
+    return fitted.withColumn("baseline_std", F.col("baseline_std") * 0.3)
+
+
+_FIGURES = "avg(predicted_ctr) AS m, stddev_pop(predicted_ctr) AS s, avg(latency_ms) AS l"
+
+
+@case(
+    "stream_drift",
+    _findings_sql(
+        f"""SELECT model_name, {_FIGURES} FROM (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY timestamp DESC, request_id DESC) AS r
+  FROM predictions WHERE NOT error) WHERE r <= 1000 GROUP BY model_name HAVING count(*) >= 100""",
+        "model_name",
+    ),
+    "predictions baseline_rows",
+)
 def _(spark, sf):
     path = scratch(spark, "drift")
-    baseline = monitor.baseline_fit(fx.baseline_rows(spark, sf)).withColumn("baseline_std", F.col("baseline_std") * 0.3)
-    jobs.start_drift(log_stream(spark, sf), baseline, path, f"{path}/checkpoint", once=True).awaitTermination()
-    return spark.read.parquet(f"{path}/findings")
+    jobs.start_drift(log_stream(spark, sf), _baseline(spark, sf), path, f"{path}/checkpoint", once=True).awaitTermination()
+    return rounded(spark.read.parquet(f"{path}/findings").drop("epoch"), 5)
 
 
-@case("stream_window_drift")
+@case(
+    "stream_window_drift",
+    _findings_sql(
+        f"""SELECT window_start, model_name, {_FIGURES} FROM (SELECT *, time_bucket(INTERVAL 6 HOUR, timestamp) AS window_start FROM predictions)
+  WHERE NOT error AND window_start + INTERVAL 6 HOUR <= {_MARK} GROUP BY window_start, model_name HAVING count(*) >= 20""",
+        "window_start, model_name",
+    ),
+    "predictions baseline_rows",
+)
 def _(spark, sf):
-    baseline = monitor.baseline_fit(fx.baseline_rows(spark, sf))
     stats = jobs.stream_model_stats(log_stream(spark, sf), window="6 hours")
     path = scratch(spark, "windows")
     jobs.start_parquet_sink(stats, f"{path}/rows", f"{path}/checkpoint", once=True).awaitTermination()
-    return jobs.stream_window_drift(spark.read.schema(stats.schema).parquet(f"{path}/rows"), baseline, minimum=20)
+    windows = spark.read.schema(stats.schema).parquet(f"{path}/rows")
+    return rounded(jobs.stream_window_drift(windows, _baseline(spark, sf), minimum=20), 5)
 
 
 @case(
