@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm import decontaminate, exact_dedup, packing, quality, simhash, toxicity
+from adlens.llm import decontaminate, exact_dedup, html_extract, license_scan, packing, quality, simhash, toxicity, url_filter, warc
 from adlens.llm.sampling import held_out
 
 QUALITY_LEAST = 0.3
 TOXIC_LEAST = 0.7
+URL_RULES = "allow org/, block example.org/es/, block example.org/en/1, allow com/fr/, block com/de/"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.rules_of(URL_RULES))
+    return rows.withColumnRenamed("id", "page_id")
+
+
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = html_extract.extract(_table(spark, sf_dir, "pages"))
+    return rows.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -61,6 +72,17 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = license_scan.scan(_table(spark, sf_dir, "documents"))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        "n_passages",
+        F.array_join("licenses", ",").alias("licenses"),
+        "best_license",
+        F.round("best_dice", 6).alias("best_dice"),
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = exact_dedup.exact_groups(docs, digest_all=True)
@@ -73,6 +95,18 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(quality.score_quality(docs, model), lambda c: held_out(c, 5, 0), QUALITY_LEAST)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.write_archives(_table(spark, sf_dir, "pages"))
+    rows = warc.capture_index(warc.read_archives(spark, folder))
+    return rows.select(
+        F.col("id").alias("page_id"),
+        F.col("bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return rows.select(
@@ -87,11 +121,15 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
+    "op2_html_extract": op2_html_extract,
     "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
+    "op6_license_scan": op6_license_scan,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_quality": op8_quality,
+    "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
     "pipeline": _pipeline,
 }
@@ -128,4 +166,17 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-SQL = {"op5_decontamination": OP5_SQL, "op7_exact_dedup": OP7_SQL}
+OP9_SQL = """
+WITH bodies AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+digests AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) >> (5 * (3 - i % 4))) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest
+  FROM bodies),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS f FROM digests)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> f THEN f END AS refers_to
+FROM firsts
+"""
+
+SQL = {"op5_decontamination": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op9_warc": OP9_SQL}
