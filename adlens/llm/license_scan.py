@@ -55,10 +55,10 @@ def needed_words(templates: list[tuple[str, str]], least: float) -> list[str]:
     for _, text in templates:
         own = bigrams_of(text)
         shared = math.ceil(least / (2 - least) * len(own) - 1e-9)  # a match shares so many at least
-        words = Counter(w for b in own for w in set(b.split()) if len(w) > 3)
         left = [b for b in own if not chosen & set(b.split())]
         while len(left) >= shared:
-            word = max(words, key=lambda w: (sum(w in b.split() for b in left), len(w), w))
+            words = Counter(w for b in left for w in set(b.split()))
+            word = max(words, key=lambda w: (len(w) > 3, words[w], len(w), w))
             chosen.add(word)
             left = [b for b in left if word not in b.split()]
     return sorted(chosen)
@@ -80,7 +80,8 @@ def scan(
     def may_match(text: Column) -> Column:
         out = F.lit(False)
         for word in words:
-            out = out | F.contains(text, F.lit(word))
+            whole = rf"(?<![\p{{L}}\p{{N}}]){word}(?![\p{{L}}\p{{N}}])"
+            out = out | (F.contains(text, F.lit(word)) if len(word) > 3 else F.rlike(text, F.lit(whole)))
         return out
 
     known = F.array(

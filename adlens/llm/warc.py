@@ -1,9 +1,9 @@
 """Web archives: WARC records, and an index of captures merged from locally sorted runs.
 
 Records are text (headers, an HTTP head and the page in UTF-8), so Spark's text writer makes the archives
-and its committer survives lost executors. Records end with two line breaks; a page that holds the start of
-a record after two line breaks is sent in HTTP chunks cut inside that mark, so the archives are read as
-text again, record by record, whatever a page says. `Content-Length` and the digest are checked on reading.
+and its committer survives lost executors. Records end with two line breaks; a page that holds the mark a record
+starts with is sent in HTTP chunks cut inside that mark, so the archives are read as text again, record by
+record, whatever a page says. `Content-Length` and the digest are checked on reading.
 
 Of equal payloads the record with the smallest id is the response; the others revisit it and hold no payload.
 Only payloads that a bitmap of fixed size marks as repeated are shuffled, and of those only the responses'.
@@ -60,28 +60,17 @@ def url_key(url: Column) -> Column:
 
 
 def _chunked(payload: Column) -> Column:
-    """The payload in HTTP chunks, cut within every mark (and within one that the record's end would complete)."""
-    cut = END + VERSION[:2]
+    """The payload in HTTP chunks, cut inside every version mark."""
 
     def chunk(text: Column) -> Column:
         return F.concat(F.hex(F.octet_length(text)), F.lit("\r\n"), text, F.lit("\r\n"))
 
-    parts = F.split(payload, "(?=\r\n\r\nWA)")
-    # every part but the first starts with the cut: its first chunk is the cut alone
-    head = F.length(F.lit(cut))
-    pieces = F.transform(
-        parts,
-        lambda p: F.when(p == "", F.lit(""))
-        .when(~p.startswith(cut), chunk(p))
-        .when(F.length(p) == head, chunk(p))
-        .otherwise(F.concat(chunk(F.lit(cut)), chunk(F.substring(p, head + 1, F.length(p))))),
-    )
-    return F.concat(F.array_join(pieces, ""), F.lit("0\r\n\r\n"))
+    return F.concat(F.array_join(F.transform(F.split(payload, r"(?<=W)(?=ARC/1\.0)"), chunk), ""), F.lit("0\r\n\r\n"))
 
 
 def _record() -> Column:
     """The text of a record from `id`, `url`, `time`, `payload` (null: revisit), `bytes`, `digest`, `refers_to`."""
-    marked = F.contains(F.concat("payload", F.lit(END)), F.lit(END + VERSION[:-2]))
+    marked = F.contains("payload", F.lit(VERSION.strip()))
     sent = F.when(F.col("payload").isNull(), "").when(marked, _chunked(F.col("payload"))).otherwise(F.col("payload"))
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"),
@@ -165,7 +154,7 @@ def write_archives(
 def _unchunked(body: Column) -> Column:
     """The payload of a chunked body; sizes count bytes, so the work is on binary."""
     state = F.struct(body.alias("rest"), F.lit("").cast("binary").alias("done"))
-    # a mark is cut into two chunks at most, and every chunk starts a new part of this split
+    # every chunk has two line breaks of its own
     turns = F.sequence(F.lit(1), F.size(F.split(F.decode(body, "ISO-8859-1"), "\r\n")))
 
     def turn(acc: Column, _: Column) -> Column:
