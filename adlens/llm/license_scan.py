@@ -4,8 +4,9 @@ Every line and every paragraph (lines between blank lines) of a text is a passag
 (A-Z lower-cased, everything but letters and digits is a space) and compared to each template whose number
 of different bigrams allows the least coefficient d at all: between d / (2 - d) and (2 - d) / d times the
 passage's. A passage that reaches d shares more than d / (2 - d) of a template's bigrams, so it must hold one
-of a few words that occur in the others; texts without any of these words are not even split.
-Only DataFrame functions are used, and nothing is shuffled.
+of a few words that occur in the others; texts without any of these words are not even split. Passages meet
+templates by an equal join on their size. Only DataFrame functions are used; what is shuffled are matches,
+and id and digest of the texts that hold one of the words.
 
 Defined cases: a null text is empty; a passage of fewer than two words has no bigrams and never matches;
 equal coefficients are won by the name that sorts first; repeated rows each get a row.
@@ -13,11 +14,12 @@ equal coefficients are won by the name that sorts first; repeated rows each get
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LEAST_DICE = 0.8
@@ -43,6 +45,12 @@ TEMPLATES = [
     ("proprietary", "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher."),
 ]
 
+#: Words too frequent in any text to tell where a notice may be; used only if nothing else is left.
+WIDESPREAD = set(
+    "a all and any are as at be by can conditions copy following for free if in is it may modification no not of on or part"
+    " person provided source subject that the this to under use version was with without work you 0 1 2 3 4".split()
+)
+
 
 def bigrams_of(text: str) -> list[str]:
     words = re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
@@ -58,12 +66,30 @@ def needed_words(templates: list[tuple[str, str]], least: float) -> list[str]:
         left = [b for b in own if not chosen & set(b.split())]
         while len(left) >= shared:
             words = Counter(w for b in left for w in set(b.split()))
-            word = max(words, key=lambda w: (len(w) > 3, words[w], len(w), w))
+            word = max(words, key=lambda w: (w not in WIDESPREAD, words[w], len(w), w))
             chosen.add(word)
             left = [b for b in left if word not in b.split()]
     return sorted(chosen)
 
 
+def _by_size(spark: SparkSession, templates: list[tuple[str, str]], least: float) -> DataFrame:
+    """`_size`, `_template`, `license`, `_own` (bigrams): every size that a passage like the template can have."""
+    known = []
+    for number, (name, text) in enumerate(templates):
+        own = bigrams_of(text)
+        lo = math.ceil(len(own) * least / (2 - least) - 1e-9)
+        hi = math.floor(len(own) * (2 - least) / least + 1e-9)
+        known.append({"number": number, "name": name, "lo": lo, "hi": hi, "own": own})
+    schema = "array<struct<number:int,name:string,lo:int,hi:int,own:array<string>>>"
+    rows = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(known)), schema)))
+    return rows.select(
+        F.explode(F.sequence("lo", "hi")).alias("_size"),
+        F.col("number").alias("_template"),
+        F.col("name").alias("license"),
+        F.col("own").alias("_own"),
+    )
+
+
 def scan(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -75,72 +101,57 @@ def scan(
 
     `matches` holds a structure (`passage`, `license`, `dice`) for each passage and template that match.
     """
-    words = needed_words(templates, least)
+    # whole words, A-Z in either case; the look behind comes first, so that words are tried only where one begins
+    words = "|".join(needed_words(templates, least))
+    pattern = rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{words})(?![\p{{L}}\p{{N}}])"
 
     def may_match(text: Column) -> Column:
-        out = F.lit(False)
-        for word in words:
-            whole = rf"(?<![\p{{L}}\p{{N}}]){word}(?![\p{{L}}\p{{N}}])"
-            out = out | (F.contains(text, F.lit(word)) if len(word) > 3 else F.rlike(text, F.lit(whole)))
-        return out
-
-    known = F.array(
-        *[
-            F.struct(F.lit(name).alias("name"), F.array(*[F.lit(b) for b in bigrams_of(text)]).alias("bigrams"))
-            for name, text in templates
-        ]
-    )
-
-    def compared(passage: Column) -> Column:
-        plain = F.regexp_replace(F.translate(passage, UPPER, LOWER), r"[^\p{L}\p{N}]+", " ")
-        own = F.filter(F.split(plain, " "), lambda w: w != "")
-        pairs = F.greatest(F.size(own) - 1, F.lit(0))
-        bigrams = F.array_distinct(
-            F.zip_with(F.slice(own, F.lit(1), pairs), F.slice(own, F.lit(2), pairs), lambda a, b: F.concat_ws(" ", a, b))
-        )
-        return F.struct(passage.alias("passage"), bigrams.alias("bigrams"))
-
-    def matched(p: Column) -> Column:
-        size = F.size(p["bigrams"])
-        fitting = F.filter(
-            known,
-            lambda t: (size * (2 - least) >= F.size(t["bigrams"]) * least - 1e-9)
-            & (size * least <= F.size(t["bigrams"]) * (2 - least) + 1e-9),
-        )
-        found = F.transform(
-            fitting,
-            lambda t: F.struct(
-                (2.0 * F.size(F.array_intersect(p["bigrams"], t["bigrams"])) / (size + F.size(t["bigrams"]))).alias("dice"),
-                t["name"].alias("license"),
-            ),
-        )
-        kept = F.filter(found, lambda m: m["dice"] >= least - 1e-9)
-        return F.struct(p["passage"].alias("passage"), kept.alias("found"))
-
-    text = F.col("_text")
-    paragraphs = F.filter(F.split(text, "\n\n"), lambda p: F.contains(p, F.lit("\n")))
-    passages = F.filter(F.concat(F.split(text, "\n"), paragraphs), lambda p: may_match(F.translate(p, UPPER, LOWER)))
-    nothing = F.array().cast("array<string>")
-    rows = docs.select(
-        F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text")
-    ).withColumn("_passages", F.when(may_match(F.translate(text, UPPER, LOWER)), passages).otherwise(nothing))
-    hits = F.filter(F.transform(F.transform("_passages", compared), matched), lambda p: F.size(p["found"]) > 0)
-    rows = rows.withColumn("_hits", hits)
-    pairs = F.flatten(
-        F.transform(
-            "_hits",
-            lambda p: F.transform(
-                p["found"], lambda m: F.struct(p["passage"].alias("passage"), m["license"].alias("license"), m["dice"].alias("dice"))
+        return F.rlike(text, F.lit(pattern))
+
+    packed = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
+    hinted = packed.filter(may_match(F.col("_text"))).withColumn("_digest", F.sha2(F.encode("_text", "UTF-8"), 256))
+    paragraphs = F.filter(F.split("_text", "\n\n"), lambda p: F.contains(p, F.lit("\n")))
+    passages = (
+        hinted.select("id", "_digest", F.posexplode(F.concat(F.split("_text", "\n"), paragraphs)).alias("_at", "passage"))
+        .filter(may_match(F.col("passage")))
+        .withColumn("_plain", F.regexp_replace(F.translate("passage", UPPER, LOWER), r"[^\p{L}\p{N}]+", " "))
+        .withColumn("_words", F.filter(F.split("_plain", " "), lambda w: w != ""))
+        .withColumn("_pairs", F.greatest(F.size("_words") - 1, F.lit(0)))
+        .withColumn(
+            "_bigrams",
+            F.array_distinct(
+                F.zip_with(
+                    F.slice("_words", F.lit(1), F.col("_pairs")),
+                    F.slice("_words", F.lit(2), F.col("_pairs")),
+                    lambda a, b: F.concat_ws(" ", a, b),
+                )
             ),
         )
+        .withColumn("_size", F.size("_bigrams"))
     )
-    rows = rows.withColumn("matches", pairs)
-    order = F.array_sort(F.transform("matches", lambda m: F.struct((-m["dice"]).alias("less"), m["license"].alias("license"))))
-    return rows.select(
+    # Size bound: the given templates, a row for each passage size that they allow.
+    found = (
+        passages.join(F.broadcast(_by_size(docs.sparkSession, templates, least)), "_size")
+        .withColumn("_shared", F.size(F.array_intersect("_bigrams", "_own")))
+        .withColumn("dice", 2.0 * F.col("_shared") / (F.col("_size") + F.size("_own")))
+        .filter(F.col("dice") >= least - 1e-9)
+        .groupBy("id", "_digest")
+        .agg(F.array_sort(F.collect_set(F.struct("_at", "_template", "passage", "license", "dice"))).alias("_found"))
+        .withColumnsRenamed({"id": "_id", "_digest": "_own_digest"})
+    )
+    nothing = F.array().cast("array<struct<_at:int,_template:int,passage:string,license:string,dice:double>>")
+    same = hinted["id"].eqNullSafe(F.col("_id")) & (hinted["_digest"] == F.col("_own_digest"))
+    some = hinted.drop("_text").join(found, same, "left").select("id", F.coalesce("_found", nothing).alias("_found"))
+    none = packed.filter(~may_match(F.col("_text"))).select("id", nothing.alias("_found"))
+    rows = none.unionByName(some)
+    order = F.array_sort(F.transform("_found", lambda m: F.struct((-m["dice"]).alias("less"), m["license"].alias("license"))))
+    return rows.withColumn("_best", F.get(order, F.lit(0))).select(
         "id",
-        F.size("_hits").cast("long").alias("n_passages"),
-        F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"]))).alias("licenses"),
-        F.get(order, F.lit(0))["license"].alias("best_license"),
-        (-F.get(order, F.lit(0))["less"]).alias("best_dice"),
-        "matches",
+        F.size(F.array_distinct(F.transform("_found", lambda m: m["_at"]))).cast("long").alias("n_passages"),
+        F.array_sort(F.array_distinct(F.transform("_found", lambda m: m["license"]))).alias("licenses"),
+        F.col("_best.license").alias("best_license"),
+        (-F.col("_best.less")).alias("best_dice"),
+        F.transform("_found", lambda m: F.struct(m["passage"], m["license"], m["dice"])).cast(
+            "array<struct<passage:string,license:string,dice:double>>"
+        ).alias("matches"),
     )
