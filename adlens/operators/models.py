@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Model, Pipeline, PipelineModel
@@ -9,16 +10,23 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adlens.sources.materialise import materialise
+
 TARGET = "clicked"
 DEFAULT_CTR = 0.02
 
 
+def known_value(column: str) -> Column:
+    """The column as a number; null and NaN count as 0, in training and in evaluation alike."""
+    return F.coalesce(F.nanvl(F.col(column).cast("double"), F.lit(0.0)), F.lit(0.0))
+
+
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Vector of the feature columns; a missing value counts as 0."""
-    filled = df.withColumns({c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)) for c in features})
+    filled = df.withColumns({c: known_value(c) for c in features})
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     return assembler.transform(filled)
 
@@ -60,18 +68,45 @@ def train_gbt(
     subsample: float = 0.8,
     column_sample: float = 0.8,
     validation: str | None = None,
+    patience: int = 10,
     seed: int = 42,
 ) -> Model:
-    """Boosted trees; with a boolean `validation` column training stops when they stop helping."""
+    """Boosted trees of `rounds` rounds.
+
+    With a boolean `validation` column the rows it marks are held out and the best round on them is kept:
+    the search ends once `patience` rounds bring no better one, and the model is fitted again with that
+    many rounds and the same seed. The library's own stop waits for no later round, so it is not used.
+    """
     booster = GBTClassifier(
         featuresCol="features", labelCol="label", weightCol="_weight", maxDepth=max_depth,
         stepSize=step_size, maxIter=rounds, subsamplingRate=subsample,
         featureSubsetStrategy=str(column_sample), seed=seed, cacheNodeIds=True,
     )
-    extra = [validation] if validation else []
-    if validation:
-        booster = booster.setValidationIndicatorCol(validation)
-    return booster.fit(_training_rows(df, features, target, *extra))
+    if not validation:
+        return booster.fit(_training_rows(df, features, target))
+    marked = F.coalesce(F.col(validation), F.lit(False))
+    rows = materialise(_training_rows(df, features, target, marked.alias("_held")), "boosting")
+    train = rows.filter("NOT _held")
+    model = booster.fit(train)
+    losses = model.evaluateEachIteration(rows.filter("_held"))
+    best = best_round(losses, patience)
+    return model if best == len(losses) else booster.copy({booster.maxIter: best}).fit(train)
+
+
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """Rounds up to the smallest loss found before `patience` rounds in a row bring no smaller one.
+
+    With no held-out rows the losses are not numbers; then all rounds are kept.
+    """
+    best = 0
+    for k, loss in enumerate(losses):
+        if math.isnan(loss):
+            return len(losses)
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1
 
 
 def train_gbt_leaf(df: DataFrame, features: Sequence[str], target: str = TARGET, **options) -> Model:

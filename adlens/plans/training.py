@@ -35,7 +35,7 @@ class TrainingResult:
 
 def scored_rows(df: DataFrame, fitted: dict[str, Model], features: Sequence[str], target: str, row_id: str) -> DataFrame:
     """(id, model_name, label, score) of every model on the same rows."""
-    filled = df.select(row_id, target, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in features])
+    filled = df.select(row_id, target, *[models.known_value(c).alias(c) for c in features])
     return models.compare_models(filled, fitted, features).select(
         F.col(row_id).alias("id"), "model_name", F.col(target).cast("int").alias("label"), F.col("predicted_ctr").alias("score")
     )

@@ -11,11 +11,13 @@ from adlens.schemas import PREDICTION_COLUMNS, TRAINING_COLUMNS
 def prediction_rows(scored: DataFrame, logged_at: str | None = None) -> DataFrame:
     """Log rows of scored requests: id, time, JSON of the request's time fields, outcome if known.
 
+    A request that could not be scored keeps its null rate; the reason, where given, is in the JSON.
+
     A row keeps its request id; one without gets a random id. `logged_at` fixes the log time.
     """
     present = set(scored.columns)
     now = F.lit(logged_at) if logged_at else F.current_timestamp()
-    fields = [F.col(c) for c in ("hour", "day_of_week", "timestamp") if c in present]
+    fields = [F.col(c) for c in ("hour", "day_of_week", "timestamp", "score_error") if c in present]
     request_id = F.coalesce(F.col("request_id").cast("string"), F.uuid()) if "request_id" in present else F.uuid()
 
     def text(column: str, default: str) -> Column:
@@ -27,7 +29,7 @@ def prediction_rows(scored: DataFrame, logged_at: str | None = None) -> DataFram
         text("ad_id", ""),
         text("device", ""),
         text("placement", ""),
-        F.coalesce(F.col("predicted_ctr").cast("double"), F.lit(0.0)).alias("predicted_ctr"),
+        F.col("predicted_ctr").cast("double").alias("predicted_ctr"),
         (F.col("actual_ctr").cast("double") if "actual_ctr" in present else F.lit(None).cast("double")).alias("actual_ctr"),
         now.cast("timestamp_ntz").alias("timestamp"),
         text("model_name", "unknown"),

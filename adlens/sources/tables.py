@@ -28,20 +28,15 @@ def _read_csv(spark: SparkSession, path: str, schema: StructType | None) -> Data
     return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
 
 
-def _file_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the files at a path, without reading them."""
-    listing = spark.read.format("binaryFile").load(path).select("path").limit(20)
-    return [r["path"] for r in listing.collect()]
-
-
 def read_table_auto(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Choose the format by the path's suffix, or by the suffix of the files inside it."""
+    """Choose the format by the path's suffix, or by the names of all files inside it; a mix is an error."""
     names = [path.rstrip("/")]
     if not names[0].endswith((".parquet", ".csv", ".csv.gz", ".gz")):
-        names = _file_names(spark, path)
-    if any(".parquet" in n.rsplit("/", 1)[-1] for n in names):
-        return spark.read.parquet(path)
-    return _read_csv(spark, path, schema)
+        names = spark.read.text(path).inputFiles()  # the listing; nothing is read
+    parquet = [".parquet" in n.rsplit("/", 1)[-1] for n in names]
+    if any(parquet) and not all(parquet):
+        raise ValueError(f"{path} holds parquet and other files: {names[parquet.index(False)]}")
+    return spark.read.parquet(path) if any(parquet) else _read_csv(spark, path, schema)
 
 
 def read_raw_log(
@@ -56,13 +51,14 @@ def read_raw_log(
     """Gzip CSV log with a fixed schema.
 
     One gzip file is read by one task; `partitions` spreads its rows before further work. The
-    sample is a seeded random one, not the first rows of the file.
+    sample is a seeded random one, not the first rows of the file. Files whose header differs
+    from that of the first one end the read with an error; read them one by one.
     """
     header = spark.read.text(path).limit(1).first()
     names = header[0].split(",") if header else schema.names
     known = {f.name: f for f in schema.fields}
     present = StructType([known[n] if n in known else StructType().add(n, "string").fields[0] for n in names])
-    df = spark.read.option("header", True).schema(present).csv(path)
+    df = spark.read.option("header", True).option("enforceSchema", False).schema(present).csv(path)
     if n_rows:
         df = df.limit(n_rows)
     elif sample_frac:

@@ -140,3 +140,37 @@ def test_scoring_job_routes_and_refuses(spark, impressions):
     assert set(reasons) == {4, 5, 6, 7} and reasons[4] == "missing user_id"
     assert all(0 <= r["predicted_ctr"] <= 1 for r in scored.collect())
     assert scoring.log_rows(scored, "2024-02-01 10:00:00").count() == 3
+
+
+def test_boosting_keeps_the_best_round_and_waits():
+    from adlens.operators.models import best_round
+
+    assert best_round([0.9, 0.8, 0.81, 0.7, 0.71], 10) == 4
+    assert best_round([0.9, 0.8, 0.81, 0.82, 0.1], 2) == 2
+    assert best_round([0.9, 0.8, 0.7], 2) == 3
+    assert best_round([float("nan")] * 3, 2) == 3
+
+
+def test_boosting_is_not_one_tree(spark):
+    from pyspark.sql import functions as F
+
+    from adlens.operators.models import train_gbt
+
+    rows = spark.range(2000).select(
+        (F.col("id") % 17).cast("double").alias("a"),
+        (F.col("id") % 5).cast("double").alias("b"),
+        (((F.col("id") % 17) + 3 * (F.col("id") % 5) > 12) & (F.pmod(F.xxhash64("id"), F.lit(10)) > 1)).cast("int").alias("clicked"),
+        (F.col("id") % 4 == 0).alias("held"),
+    )
+    assert train_gbt(rows, ["a", "b"], rounds=12, max_depth=2, validation="held").getNumTrees > 3
+
+
+def test_missing_values_are_scored_in_evaluation(spark):
+    from adlens.operators.models import train_logistic
+    from adlens.plans.training import scored_rows
+
+    rows = spark.createDataFrame(
+        [(i, i % 2, float("nan") if i % 3 == 0 else float(i)) for i in range(60)], "id long, clicked int, a double"
+    )
+    out = scored_rows(rows, {"logistic": train_logistic(rows, ["a"])}, ["a"], "clicked", "id")
+    assert out.filter("score IS NULL").count() == 0 and out.count() == 60

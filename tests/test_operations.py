@@ -297,3 +297,32 @@ def test_command_line(spark, impressions, tmp_path, capsys):
     assert (tmp_path / "reports" / "ctr_by_hour.csv").exists()
     main(["train", "--input", str(tmp_path / "f.parquet"), "--output-dir", str(tmp_path / "m"), "--models", "logistic"])
     assert "logistic" in capsys.readouterr().out
+
+
+def test_mixed_folder_is_refused_and_other_headers_too(spark, tmp_path):
+    import pytest
+
+    from adlens.sources.tables import read_raw_log, read_table_auto
+
+    spark.range(3).write.parquet(str(tmp_path / "mixed"))
+    for n in range(25):
+        (tmp_path / "mixed" / f"a{n:02d}.csv").write_text("id\n1\n")
+    with pytest.raises(ValueError):
+        read_table_auto(spark, str(tmp_path / "mixed"))
+    (tmp_path / "logs").mkdir()
+    (tmp_path / "logs" / "a.csv").write_text("click,hour\n1,14102101\n")
+    (tmp_path / "logs" / "b.csv").write_text("hour,click\n14102102,0\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_log(spark, str(tmp_path / "logs")).collect()
+
+
+def test_unscored_request_is_logged_without_a_rate(spark):
+    import json
+
+    from adlens.sources.prediction_log import prediction_rows
+
+    scored = spark.createDataFrame(
+        [("u", None, "unusable feature value")], "user_id string, predicted_ctr double, score_error string"
+    )
+    row = prediction_rows(scored, "2024-01-01 00:00:00").first()
+    assert row["predicted_ctr"] is None and json.loads(row["features"])["score_error"] == "unusable feature value"
