@@ -6,7 +6,8 @@ starts with is sent in HTTP chunks cut inside that mark, so the archives are rea
 record, whatever a page says. `Content-Length` and the digest are checked on reading.
 
 Of equal payloads the record with the smallest id is the response; the others revisit it and hold no payload.
-Only payloads that a bitmap of fixed size marks as repeated are shuffled, and of those only the responses'.
+Only payloads that a bitmap of fixed size marks as repeated are shuffled, and of those only the responses',
+which an exact join of keys and ids finds first.
 
 The index is an external merge: each task sorts the captures it read by URL key and time and writes this run
 to the shared folder; ranges of the (key, time, id) order, whose bounds are taken from a sample, then gather
@@ -127,13 +128,16 @@ def write_archives(
         when.alias("time"),
         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("payload"),
     ).withColumns({"bytes": F.octet_length("payload").cast("long"), "digest": base32_sha1(F.col("payload").cast("binary"))})
-    keys = rows.filter(F.col("bytes") >= least_bytes).select("id", "bytes", "digest")
+    keys = materialise(rows.filter(F.col("bytes") >= least_bytes).select("id", "bytes", "digest"), "keys")
     repeated = materialise(
         keys.groupBy("bytes", "digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"),
         "payloads",
     )
     groups = materialise(bitmap_of(repeated, [F.col("bytes"), F.col("digest")]), "repeated")
-    firsts = materialise(bitmap_of(repeated, [F.col("digest"), F.col("first")]), "responses")
+    # of the marked rows all that are responses, also those that the bitmap marks by chance
+    marked = with_hint(keys, [F.col("bytes"), F.col("digest")], groups, "_again").filter("_again")
+    kept = marked.join(repeated, ["bytes", "digest"], "left").filter("first IS NULL OR id <=> first")
+    firsts = materialise(bitmap_of(kept, [F.col("digest"), F.col("id")]), "responses")
     hinted = with_hint(rows, [F.col("bytes"), F.col("digest")], groups, "_again")
     alone = hinted.filter("NOT _again").withColumn("refers_to", F.lit(None).cast("long")).drop("_again")
     # the payload of a row that is surely a revisit stays behind

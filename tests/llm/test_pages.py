@@ -139,6 +139,19 @@ def test_archives_give_back_every_payload(spark):
     assert plain and {r["record_type"] for r in plain} == {"response"}
 
 
+def test_false_positives_of_the_bitmap_keep_their_payload(spark, monkeypatch):
+    monkeypatch.setattr("adlens.llm.bitmap.BITS", 64)
+    rows = [(i, "http://e.com/a", f"page {i % 40 if i < 60 else i}") for i in range(120)]
+    records = warc.read_archives(spark, warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"))).collect()
+    payload = {i: html for i, _, html in rows}
+    assert len(records) == len(rows)
+    for r in records:
+        if 40 <= r["id"] < 60:
+            assert (r["record_type"], r["refers_to"], r["payload"]) == ("revisit", r["id"] - 40, None)
+        else:
+            assert (r["record_type"], bytes(r["payload"]).decode()) == ("response", payload[r["id"]])
+
+
 def test_index_is_in_global_order(spark):
     rng = random.Random(2)
     rows = [(i, f"http://{rng.choice(['www.', ''])}{rng.choice('ab')}.example.org/{rng.randrange(4)}", str(i % 50), None, None) for i in range(400)]
