@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm import decontaminate, exact_dedup, html_extract, license_scan, packing, quality, simhash, toxicity, url_filter, warc
+from adlens.llm import (
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    license_scan,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    source_audit,
+    toxicity,
+    url_filter,
+    warc,
+    whitening,
+)
 from adlens.llm.sampling import held_out
 
 QUALITY_LEAST = 0.3
@@ -114,6 +128,34 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "embeddings")
+    rows, fit = whitening.whiten(table)
+    n, explained, error = 0, [], None
+    if fit:
+        n, explained = fit.n, [float(v) for v in fit.explained]
+        error = whitening.identity_error(table.select(F.col("embedding").cast("array<double>")), fit)
+    each = rows.select(F.col("id").alias("vec_id"), "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        F.lit(n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.element_at(F.lit(explained).cast("array<double>"), F.col("at") + 1).alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secret_scan.find_secrets(_table(spark, sf_dir, "documents"))
+    return secret_scan.summary(rows).withColumnRenamed("id", "doc_id")
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -131,6 +173,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
+    "op11_whitening": op11_whitening,
+    "op12_source_audit": op12_source_audit,
+    "op13_secret_scan": op13_secret_scan,
     "pipeline": _pipeline,
 }
 
@@ -179,4 +224,39 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = f THEN 'respo
 FROM firsts
 """
 
-SQL = {"op5_decontamination": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op9_warc": OP9_SQL}
+OP12_SQL = r"""
+WITH docs AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+words AS (SELECT lang, source, id, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+langs AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, CAST(sum(lang_n) AS HUGEINT) AS total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, CAST(coalesce(sum(n), 0) AS HUGEINT) AS total FROM groups LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5)) // (g.total + 5 * l.v) AS p,
+    1 + (CAST(1000000000 AS HUGEINT) * (k.lang_n + 5)) // (l.total + 5 * l.v) AS q
+  FROM totals g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+pairs AS (
+  SELECT x.lang, x.source, y.source AS item, coalesce(sum(abs(a.p - b.p)), 0) AS value
+  FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN shares a ON a.lang = x.lang AND a.source = x.source
+  LEFT JOIN shares b ON b.lang = y.lang AND b.source = y.source AND b.term = a.term
+  GROUP BY ALL),
+terms AS (SELECT lang, source, term AS item, p - q AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM terms
+  QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) <= 50)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM ranked
+"""
+
+SQL = {
+    "op5_decontamination": OP5_SQL,
+    "op7_exact_dedup": OP7_SQL,
+    "op9_warc": OP9_SQL,
+    "op12_source_audit": OP12_SQL,
+}
