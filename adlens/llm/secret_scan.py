@@ -41,7 +41,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{%d,}" % LEAST_HEX)
 LINE_END = r"(?:\r?\n[ \t]*|(?:\\r)?\\n)"
 RUN = re.compile(rf"[A-Za-z0-9+/_-]{{{LEAST_RUN},}}(?:{LINE_END}[A-Za-z0-9+/_-]+)*")
-HEX_RUN = re.compile(r"(?:[0-9a-f]{%d,}|[0-9A-F]{%d,})" % (2 * LEAST_RUN, 2 * LEAST_RUN))
+HEX_RUN = re.compile(r"[0-9a-fA-F]{%d,}" % (2 * LEAST_RUN))
 #: How the first bytes of a DER sequence, of an OpenSSH key and of PEM text look in base-64.
 ANCHOR = re.compile(r"M[A-L]|b3BlbnNzaC1rZXktdjE|LS0tLS1CRUdJTi")
 HEX_ANCHOR = re.compile(r"30|6f70656e7373682d6b65792d7631|2d2d2d2d2d424547494e", re.IGNORECASE)

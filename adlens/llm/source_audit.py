@@ -30,7 +30,8 @@ from adlens.sources.materialise import materialise
 
 LEAST_DOCS, TOP_TERMS = 30, 50
 UNIT, PRIOR = 1_000_000_000, 5
-BLOCK_TERMS, TILE_SOURCES = 4096, 256
+#: A block has as many terms as the language has sources, within these bounds: pairs of sources are sent once a block.
+LEAST_BLOCK, MOST_BLOCK, TILE_SOURCES = 512, 4096, 256
 #: A task writes out and forgets its counts at so many terms or (group, term) pairs.
 MOST_TERMS, MOST_COUNTS = 400_000, 2_000_000
 #: Documents whose words are counted together, at most, and the words at which a batch of them ends.
@@ -202,7 +203,8 @@ def audit(
     unit: int = UNIT,
     prior: int = PRIOR,
     digest=F.xxhash64,
-    block_terms: int = BLOCK_TERMS,
+    least_block: int = LEAST_BLOCK,
+    most_block: int = MOST_BLOCK,
     tile_sources: int = TILE_SOURCES,
 ) -> DataFrame:
     """`lang`, `source`, `part` (pair or term), `item`, `value`, `rank`.
@@ -264,7 +266,8 @@ def audit(
     zero = {"total": 0, "terms": 0, "lang_total": 0}
     known = materialise(
         groups.join(sums, ["lang", "source"], "left").join(whole, "lang", "left").join(sources, "lang").fillna(zero)
-        .withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("terms") / block_terms)).cast("long"))
+        .withColumn("block_size", F.least(F.lit(most_block), F.greatest(F.lit(least_block), F.col("sources"))))
+        .withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("terms") / F.col("block_size"))).cast("long"))
         .withColumn("tiles", F.ceil(F.col("sources") / tile_sources).cast("long"))
         .withColumn("tile", F.pmod(F.xxhash64("source"), F.col("tiles"))),
         "groups",
