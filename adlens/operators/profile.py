@@ -10,8 +10,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adlens.operators.brackets import RANK_ERROR, bracket_ends, exact_in_brackets, sketch_of
 from adlens.operators.lookups import few_keys, join_lookup
-from adlens.operators.ordered import exact_quantiles
 from adlens.operators.normalize import numeric_columns
 from adlens.schemas import DAY_NAMES
 
@@ -143,8 +143,8 @@ def describe_numeric(
 ) -> DataFrame:
     """count, mean, std, min, quartiles and max per numeric column.
 
-    Exact quartiles order the distinct values of every column; `exact=False` takes them from
-    mergeable sketches in the same single pass as the other figures.
+    Two scans: all figures and a sketch of each column, then the values near the quartiles. `exact=False` takes
+    the quartiles from mergeable sketches in the single pass of the other figures.
     """
     columns = list(columns or numeric_columns(df))
     quarters = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -158,19 +158,26 @@ def describe_numeric(
             "min": F.min(value),
             "max": F.max(value),
         }
-        if not exact:
+        if exact:
+            out["sketch"] = sketch_of(value)
+        else:
             out |= {n: F.percentile_approx(value, p, accuracy) for n, p in quarters.items()}
         return out
 
     report = _per_column(df, {c: figures(v) for c, v in usable.items()})
     if exact:
-        long = df.select(
-            F.inline(
-                F.array(*[F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in usable.items()])
-            )
+        ends = [e.alias(f"{n}{side}") for n, p in quarters.items() for side, e in enumerate(bracket_ends(F.col("sketch"), p, 3 * RANK_ERROR))]
+        # Size bound: one row per column.
+        rows = {r["column"]: r for r in report.select("column", "count", "mean", "std", "min", "max", *ends).collect()}
+        found = exact_in_brackets(
+            df.select(*[v.alias(c) for c, v in usable.items()]),
+            {c: r["count"] for c, r in rows.items()},
+            {(c, p): (r[f"{n}0"], r[f"{n}1"]) for c, r in rows.items() for n, p in quarters.items()},
         )
-        # A column without any value has no quartiles: left join.
-        report = report.join(exact_quantiles(long, ["column"], "value", quarters), "column", "left")
+        names = ("count", "mean", "std", "min", *quarters, "max")
+        lines = [(c, *[found[c, quarters[n]] if n in quarters else r[n] for n in names]) for c, r in rows.items()]
+        schema = "column string, " + ", ".join(f"{n} {'long' if n == 'count' else 'double'}" for n in names)
+        return df.sparkSession.createDataFrame(lines, schema)
     return report.select("column", "count", "mean", "std", "min", *quarters, "max")
 
 
