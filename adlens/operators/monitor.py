@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions.temporal import seconds_between
+from adlens.operators.order_windows import SEGMENT_ROWS, request_figures
 from adlens.operators.ordered import last_n, running
+from adlens.sources.materialise import materialise
 
 MODEL = "model_name"
 ORDER = ("timestamp", "request_id")
@@ -247,43 +249,29 @@ def metric_history(
     latency_window: int = LATENCY_WINDOW,
     rate_window: int = RATE_WINDOW,
     hot_rows: int | None = None,
+    segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
-    """The series a monitor reports: at every `every`-th request, error percentage so far, mean
-    latency of the last successes and requests per minute over the last requests.
+    """The series a monitor reports: at every `every`-th request, error percentage so far, mean and 95th
+    percentile latency of the last successes and requests per minute over the last requests.
 
-    A sliding mean is the difference of two running sums, so the window start is fetched by an
-    equi-join on (model, position) and no window is held in memory.
+    Requests are numbered once and written; the windows are then computed in segments of bounded size. A success
+    without a latency is no part of the latency window; a request without a model belongs to no series.
     """
     ok = ~F.col("error")
+    timed = ok & F.col("latency_ms").isNotNull()
     counted = running(
-        log, [MODEL], ORDER, inclusive=True, hot_rows=hot_rows,
-        sums={"step": F.lit(1), "_good": ok.cast("int"), "_latency": F.when(ok, F.col("latency_ms"))},
-    ).select(MODEL, "timestamp", "error", "step", "_good", "_latency")
-    shots = counted.filter(F.col("step") % every == 0)
-    left_behind = counted.filter(~F.col("error")).select(
-        MODEL, (F.col("_good") + latency_window).alias("_good"), F.col("_latency").alias("_before")
-    )
-    window_start = counted.select(
-        MODEL, (F.col("step") + (rate_window - 1)).alias("step"), F.col("timestamp").alias("_start")
-    )
-    first = log.groupBy(MODEL).agg(F.min("timestamp").alias("_first"))
-    joined = (
-        shots.join(left_behind, [MODEL, "_good"], "left")
-        .join(window_start, [MODEL, "step"], "left")
-        .join(first, MODEL, "left")
+        log.filter(F.col(MODEL).isNotNull()).select(MODEL, *ORDER, "latency_ms", "error"),
+        [MODEL], ORDER, inclusive=True, hot_rows=hot_rows,
+        sums={"step": F.lit(1), "_good": ok.cast("int"), "kept": timed.cast("int")},
+    )
+    rows = materialise(
+        counted.select(MODEL, "timestamp", "step", "_good", "kept", timed.alias("is_kept"), "latency_ms"), "numbered"
     )
+    figures = request_figures(rows, [MODEL], every, latency_window, rate_window, segment_rows=segment_rows)
     step, good = F.col("step"), F.col("_good")
-    in_window = F.least(good, F.lit(latency_window))
-    latency = F.col("_latency") - F.coalesce("_before", F.lit(0.0))
-    in_rate = F.least(step, F.lit(rate_window))
-    seconds = seconds_between(F.coalesce("_start", "_first"), F.col("timestamp"))
-    return joined.select(
-        MODEL,
-        "step",
-        "timestamp",
-        ((step - good) * 100 / step).alias("error_rate"),
-        F.coalesce(F.try_divide(latency, in_window), F.lit(0.0)).alias("avg_latency_ms"),
-        _per_minute(in_rate, seconds).alias("requests_per_minute"),
+    shots = rows.filter(step % every == 0).select(MODEL, "step", "timestamp", ((step - good) * 100 / step).alias("error_rate"))
+    return shots.join(figures, [MODEL, "step"]).select(
+        MODEL, "step", "timestamp", "error_rate", "avg_latency_ms", "p95_latency_ms", "requests_per_minute"
     )
 
 

@@ -191,19 +191,21 @@ def _(spark, sf):
 
 @case(
     "metric_history",
-    f"""{_COUNTED}, g AS (SELECT model_name, request_id, avg(latency_ms) OVER (PARTITION BY model_name ORDER BY timestamp, request_id ROWS BETWEEN 999 PRECEDING AND CURRENT ROW) AS sliding
+    f"""{_COUNTED}, g AS (SELECT model_name, request_id, avg(latency_ms) OVER (PARTITION BY model_name ORDER BY timestamp, request_id ROWS BETWEEN 999 PRECEDING AND CURRENT ROW) AS sliding,
+    quantile_cont(latency_ms, 0.95) OVER (PARTITION BY model_name ORDER BY timestamp, request_id ROWS BETWEEN 999 PRECEDING AND CURRENT ROW) AS high
   FROM predictions WHERE NOT error),
-h AS (SELECT c.*, count(*) OVER w AS k, min(timestamp) OVER w AS first_ts, last_value(g.sliding IGNORE NULLS) OVER (PARTITION BY c.model_name ORDER BY timestamp, c.request_id) AS mean_latency
+h AS (SELECT c.*, count(*) OVER w AS k, min(timestamp) OVER w AS first_ts, last_value(g.sliding IGNORE NULLS) OVER (PARTITION BY c.model_name ORDER BY timestamp, c.request_id) AS mean_latency,
+    last_value(g.high IGNORE NULLS) OVER (PARTITION BY c.model_name ORDER BY timestamp, c.request_id) AS high_latency
   FROM c LEFT JOIN g ON g.request_id = c.request_id WINDOW w AS (PARTITION BY c.model_name ORDER BY timestamp, c.request_id ROWS BETWEEN 499 PRECEDING AND CURRENT ROW))
-SELECT model_name, step, timestamp, (step - good) * 100 / step AS error_rate, round(coalesce(mean_latency, 0), 5) AS avg_latency_ms,
+SELECT model_name, step, timestamp, (step - good) * 100 / step AS error_rate, round(coalesce(mean_latency, 0), 5) AS avg_latency_ms, round(coalesce(high_latency, 0), 5) AS p95_latency_ms,
   round(CASE WHEN k > 1 AND timestamp > first_ts THEN k / ((epoch_us(timestamp) - epoch_us(first_ts)) / 1e6 / 60) ELSE 0 END, 5) AS requests_per_minute FROM h WHERE step % 10 = 0""",
     "predictions",
 )
 def _(spark, sf):
     log = fx.predictions(spark, sf)
-    series = monitor.metric_history(log, latency_window=1000, rate_window=500)
+    series = monitor.metric_history(log, latency_window=1000, rate_window=500, segment_rows=2500)
     # The error rate is one division of integers: nothing to round.
-    return series.withColumns({c: F.round(c, 5) for c in ("avg_latency_ms", "requests_per_minute")})
+    return series.withColumns({c: F.round(c, 5) for c in ("avg_latency_ms", "p95_latency_ms", "requests_per_minute")})
 
 
 @case(
