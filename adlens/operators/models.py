@@ -13,6 +13,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adlens.operators.leafwise import LeafwiseModel, LeafwiseTrainer, Options
 from adlens.sources.materialise import materialise
 
 TARGET = "clicked"
@@ -109,9 +110,24 @@ def best_round(losses: Sequence[float], patience: int) -> int:
     return best + 1
 
 
-def train_gbt_leaf(df: DataFrame, features: Sequence[str], target: str = TARGET, **options) -> Model:
-    """Second booster profile: trees of at most 32 leaves, grown level by level."""
-    return train_gbt(df, features, target, **{"max_depth": 5, **options})
+def train_gbt_leaf(
+    df: DataFrame,
+    features: Sequence[str],
+    target: str = TARGET,
+    validation: str | None = None,
+    row_id: str | None = None,
+    **options,
+) -> LeafwiseModel:
+    """Second booster profile: trees of at most 31 leaves, the leaf with the largest gain split first.
+
+    `options` are those of `leafwise.Options`. With a boolean `validation` column the rounds up to the best one on the
+    rows it marks are kept, once `patience` rounds brought no better one. Rows of a round are drawn by `row_id`, or
+    by their place in the written training table if none is given.
+    """
+    held = F.coalesce(F.col(validation), F.lit(False)) if validation else F.lit(False)
+    key = F.xxhash64(row_id) if row_id else F.monotonically_increasing_id()
+    rows = _training_rows(df.withColumns({"_held": held, "_key": key}), features, target, "_held", "_key")
+    return LeafwiseTrainer(rows, len(features), Options(**options)).fit()
 
 
 TRAINERS = {"logistic": train_logistic, "xgboost": train_gbt, "lightgbm": train_gbt_leaf}

@@ -69,6 +69,7 @@ def train_models(
         if name == "logistic":
             fitted[name] = models.train_logistic(train, features, target, **extra)
         else:
+            extra = {"row_id": row_id, **extra} if name == "lightgbm" else extra
             fitted[name] = models.TRAINERS[name](train_and_val, features, target, validation="_val", **extra)
     held = split.filter(F.col("split") != "train")
     scores = materialise(

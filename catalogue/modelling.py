@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import fixtures as fx
-from adlens.operators import evaluate, models, selection
+from adlens.operators import evaluate, leafwise, models, selection
 from adlens.operators.normalize import cyclical_time
 from adlens.plans import feature_table, scoring, training
 from adlens.sources.materialise import materialise
@@ -211,17 +211,61 @@ def _(spark, sf):
     return _scored_by(spark, sf, "xgboost", models.train_gbt(df, _TRAINING, rounds=5), df)
 
 
+def _held_out(df):
+    """A fifth of the rows, to stop boosting by."""
+    return df.withColumn("held", F.pmod(F.xxhash64("impression_id"), F.lit(5)) == 0)
+
+
 @case("train_gbt_leaf")
 def _(spark, sf):
     df = _training_table(spark, sf)
-    return _scored_by(spark, sf, "lightgbm", models.train_gbt_leaf(df, _TRAINING, rounds=5), df)
+    model = models.train_gbt_leaf(_held_out(df), _TRAINING, validation="held", row_id="impression_id")
+    return _scored_by(spark, sf, "lightgbm", model, df)
+
+
+# The first two splits of a tree grown by gain, over features whose every value is a bin: all cuts of the root, then
+# all cuts of both its children, of which the better is made. Balanced classes: every row starts at an even rate.
+_SPLIT_FEATURES = ["hour", "day_of_week"]
+_CUTS = " UNION ALL ".join(
+    f"""SELECT side, '{f}' AS feature, {f} AS threshold, sum(sum(g)) OVER w AS gl, sum(sum(h)) OVER w AS hl, sum(count(*)) OVER w AS nl,
+  sum(sum(g)) OVER a AS g, sum(sum(h)) OVER a AS h, sum(count(*)) OVER a AS n FROM {{rows}} GROUP BY side, {f}
+  WINDOW w AS (PARTITION BY side ORDER BY {f} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY side)"""
+    for f in _SPLIT_FEATURES
+)
+_GAIN = "gl * gl / hl + (g - gl) * (g - gl) / (h - hl) - g * g / h"
+_BEST = f"""SELECT side, feature, threshold, {_GAIN} AS gain, nl AS rows_left, n - nl AS rows_right FROM ({{cuts}})
+  WHERE nl >= 20 AND n - nl >= 20 AND hl >= 0.001 AND h - hl >= 0.001 QUALIFY row_number() OVER (PARTITION BY side ORDER BY gain DESC) = 1"""
 
 
-@case("train_models")
+@case(
+    "gbt_leaf_splits",
+    f"""WITH r AS (SELECT 0 AS side, hour, day_of_week, 0.5 * w - clicked * w AS g, 0.25 * w AS h
+  FROM (SELECT *, CASE WHEN clicked = 1 THEN (SELECT count(*) FILTER (clicked = 0) / count(*) FILTER (clicked = 1) FROM impressions) ELSE 1 END AS w FROM impressions)),
+root AS ({_BEST.format(cuts=_CUTS.format(rows="r"))}),
+halves AS (SELECT CASE WHEN (CASE feature WHEN 'hour' THEN hour ELSE day_of_week END) <= threshold THEN 1 ELSE 2 END AS side, hour, day_of_week, g, h
+  FROM r, (SELECT feature, threshold FROM root)),
+next AS (SELECT * FROM ({_BEST.format(cuts=_CUTS.format(rows="halves"))}) ORDER BY gain DESC LIMIT 1)
+SELECT CAST(step AS INT) AS step, feature, CAST(threshold AS DOUBLE) AS threshold, round(gain, 6) AS gain, CAST(rows_left AS BIGINT) AS rows_left, CAST(rows_right AS BIGINT) AS rows_right
+FROM (SELECT 1 AS step, * FROM root UNION ALL SELECT 2, * FROM next)""",
+    "impressions",
+)
 def _(spark, sf):
-    result = training.train_models(
-        _training_table(spark, sf), ["logistic", "lightgbm"], options={"lightgbm": {"rounds": 5}}
+    df = _training_table(spark, sf)
+    model = models.train_gbt_leaf(
+        df, _SPLIT_FEATURES, row_id="impression_id", rounds=1, leaves=3, subsample=1.0, column_sample=1.0
     )
+    nodes = spark.createDataFrame(model.nodes(), leafwise.TREE_SCHEMA)
+    child = nodes.select("tree", F.col("node").alias("child"), F.col("rows").alias("child_rows"))
+    names = F.element_at(F.array(*[F.lit(f) for f in _SPLIT_FEATURES]), F.col("feature") + 1)
+    side = lambda c: child.select("tree", F.col("child").alias(c), F.col("child_rows").cast("long").alias(f"rows_{c}"))
+    splits = nodes.filter("left >= 0").join(side("left"), ["tree", "left"]).join(side("right"), ["tree", "right"])
+    step = F.when(F.col("node") == 0, 1).otherwise(2).alias("step")
+    return splits.select(step, names.alias("feature"), "threshold", F.round("gain", 6).alias("gain"), "rows_left", "rows_right")
+
+
+@case("train_models")
+def _(spark, sf):
+    result = training.train_models(_training_table(spark, sf), ["logistic", "lightgbm"])
     return result.comparison()
 
 
@@ -372,7 +416,7 @@ def _(spark, sf):
 @case("compare_models")
 def _(spark, sf):
     df = _training_table(spark, sf)
-    fitted = {"logistic": models.train_logistic(df, _TRAINING), "lightgbm": models.train_gbt_leaf(df, _TRAINING, rounds=3)}
+    fitted = {"logistic": models.train_logistic(df, _TRAINING), "lightgbm": models.train_gbt_leaf(df, _TRAINING, rounds=3, row_id="impression_id")}
     scores = models.compare_models(df, fitted, _TRAINING)
     return scores.select("impression_id", "model_name", "predicted_ctr")
 
