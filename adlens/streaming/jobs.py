@@ -6,15 +6,17 @@ an instant, so event time is read as UTC whatever the session zone; results are
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import heapq
+from collections.abc import Callable, Iterator
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from adlens.operators import abtest, monitor
-from adlens.operators.ordered import last_n
 from adlens.sources.materialise import shared_folder
 
 MODEL = "model_name"
@@ -127,25 +129,74 @@ def stream_window_drift(stats: DataFrame, baseline: DataFrame, minimum: int = mo
     return monitor.drift_findings(current, baseline, minimum=minimum, keep=("window_start",))
 
 
-class LastRows:
-    """The last `n` rows per model of a stream, kept as a table between micro-batches.
+STATE_FORMAT = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATS_SCHEMA = (
+    f"{MODEL} string, n long, current_mean double, current_std double, current_latency_mean double, current_latency_std double"
+)
 
-    Batches alternate between two folders and each reads the one before it, so a repeated batch
-    gives the same state, and the state never outgrows n rows per model.
+
+class LastRequests(StatefulProcessor):
+    """Keeps the newest `n` rows of a model as keyed state and emits their statistics whenever rows arrive.
+
+    Newest is by time and tie-breaker, not by arrival, so late rows and the cut into micro-batches do not matter.
     """
 
-    def __init__(self, path: str, n: int = monitor.DRIFT_WINDOW):
-        self.path, self.n = path, n
+    columns = ("at", "tie", "predicted_ctr", "latency_ms")
+
+    def __init__(self, n: int, tie_type: str):
+        self.n, self.state_schema = n, f"at long, tie {tie_type}, predicted_ctr double, latency_ms double"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.rows = handle.getListState("rows", self.state_schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        kept = [tuple(r) for r in self.rows.get()]
+        for frame in rows:
+            kept += frame[list(self.columns)].itertuples(index=False, name=None)
+            # Size bound: what is kept and one Arrow batch.
+            kept = heapq.nlargest(self.n, kept, key=lambda r: r[:2])
+        self.rows.put([tuple(None if v is None or v != v else v for v in r) for r in kept])
+        columns = {MODEL: [key[0]], "n": [len(kept)]}
+        for name, at in (("current", 2), ("current_latency", 3)):
+            values = np.array([r[at] for r in kept if r[at] is not None and r[at] == r[at]], float)
+            columns[f"{name}_mean"] = [values.mean() if len(values) else None]
+            columns[f"{name}_std"] = [values.std() if len(values) else None]
+        yield pd.DataFrame(columns)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_current_stats(log: DataFrame, n: int = monitor.DRIFT_WINDOW) -> DataFrame:
+    """Statistics of the last `n` successful predictions of each model with new rows, as a stream of updates.
 
-    def update(self, batch: DataFrame, epoch: int) -> DataFrame:
-        spark = batch.sparkSession
-        rows = batch
-        if epoch > 0:
-            earlier = spark.read.schema(batch.schema).parquet(f"{self.path}/slot={(epoch - 1) % 2}")
-            rows = batch.unionByName(earlier)
-        target = f"{self.path}/slot={epoch % 2}"
-        last_n(rows, [MODEL], monitor.ORDER, self.n, prune=False).write.mode("overwrite").parquet(target)
-        return spark.read.schema(batch.schema).parquet(target)
+    Each task first drops what cannot be among a model's last `n`, so a model with most of the rows sends no more
+    than `n` of them from each task to the one that holds its state.
+    """
+    tie = monitor.ORDER[1]
+    tie_type = log.schema[tie].dataType.simpleString()
+    lowest = F.lit("").cast("string") if tie_type == "string" else F.lit(-(2**63)).cast(tie_type)
+    rows = log.filter(~F.col("error") & F.col("predicted_ctr").isNotNull() & F.col(MODEL).isNotNull()).select(
+        MODEL,
+        F.coalesce(F.timestamp_diff("MICROSECOND", _epoch(), F.col(monitor.ORDER[0])), F.lit(-(2**63))).alias("at"),
+        F.coalesce(tie, lowest).alias("tie"),
+        "predicted_ctr",
+        F.col("latency_ms").cast("double").alias("latency_ms"),
+    )
+
+    def newest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = None
+        for frame in frames:
+            both = frame if kept is None else pd.concat([kept, frame])
+            kept = both.sort_values(["at", "tie"]).groupby(MODEL, sort=False).tail(n)
+        if kept is not None:
+            yield kept
+
+    return (
+        rows.mapInPandas(newest, rows.schema)
+        .groupBy(MODEL)
+        .transformWithStateInPandas(LastRequests(n, tie_type), STATS_SCHEMA, "update", "none")
+    )
 
 
 def start_drift(
@@ -157,23 +208,40 @@ def start_drift(
     n: int = monitor.DRIFT_WINDOW,
     minimum: int = monitor.DRIFT_MINIMUM,
 ) -> StreamingQuery:
-    """After every micro-batch: deviations of each model's last `n` predictions from its baseline.
+    """After every micro-batch: deviations from the baseline of each model that had new rows.
 
-    Findings of a batch go to `path`/findings/epoch=<batch>, replaced if the batch is repeated.
+    The statistics of a batch go to `path`/current/epoch=<batch>, its findings to `path`/findings/epoch=<batch>, both
+    replaced if the batch is repeated. The state is in the checkpoint, in the state store that keeps it on disk.
     """
-    ok = log.filter(~F.col("error") & F.col("predicted_ctr").isNotNull())
-    state = LastRows(f"{path}/state", n)
 
     def step(batch: DataFrame, epoch: int) -> None:
-        current = monitor.current_stats(state.update(batch, epoch))
+        target = f"{path}/current/epoch={epoch}"
+        batch.write.mode("overwrite").parquet(target)
+        current = batch.sparkSession.read.schema(STATS_SCHEMA).parquet(target)
         found = monitor.drift_findings(current, baseline, minimum=minimum)
         found.write.mode("overwrite").parquet(f"{path}/findings/epoch={epoch}")
 
-    return start_batches(ok, step, checkpoint, once)
+    conf, name = log.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(name, None)
+    conf.set(name, STATE_FORMAT)  # a query keeps the setting it was started with
+    try:
+        return start_batches(stream_current_stats(log, n), step, checkpoint, once, "update")
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+
 
+def latest_findings(spark: SparkSession, path: str, baseline: DataFrame, minimum: int = monitor.DRIFT_MINIMUM) -> DataFrame:
+    """Where every model stands now: deviations of its newest statistics that `start_drift` wrote to `path`."""
+    current = spark.read.schema(f"{STATS_SCHEMA}, epoch int").parquet(f"{path}/current")
+    fields = [F.struct(*[c for c in current.columns if c not in (MODEL, "epoch")])]
+    newest = current.groupBy(MODEL).agg(F.max_by(*fields, "epoch").alias("_now")).select(MODEL, "_now.*")
+    return monitor.drift_findings(newest, baseline, minimum=minimum)
 
-def start_batches(df: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, once: bool) -> StreamingQuery:
-    writer = df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+
+def start_batches(
+    df: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, once: bool, mode: str = "append"
+) -> StreamingQuery:
+    writer = df.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 

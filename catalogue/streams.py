@@ -115,9 +115,14 @@ _FIGURES = "avg(predicted_ctr) AS m, stddev_pop(predicted_ctr) AS s, avg(latency
     "predictions baseline_rows",
 )
 def _(spark, sf):
+    # Several micro-batches: the events in four files of neighbouring times, one file a batch.
     path = scratch(spark, "drift")
-    jobs.start_drift(log_stream(spark, sf), _baseline(spark, sf), path, f"{path}/checkpoint", once=True).awaitTermination()
-    return rounded(spark.read.parquet(f"{path}/findings").drop("epoch"), 5)
+    events = fx.table(spark, sf, "events")
+    events.repartitionByRange(4, "ts").write.parquet(f"{path}/events")
+    files = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/events")
+    baseline = _baseline(spark, sf)
+    jobs.start_drift(fx.predictions_of(files), baseline, path, f"{path}/checkpoint", once=True).awaitTermination()
+    return rounded(jobs.latest_findings(spark, path, baseline), 5)
 
 
 @case(
