@@ -5,36 +5,46 @@ in the documents; since a document must contain all of them, the rarest one alon
 Documents are looked up by that shingle only, and the length and position of a hit bound where the window
 could lie. Each candidate is then verified word by word over the window.
 
+One pass over the documents splits them into words, counts the items' shingles and writes, for the few documents
+that hold a shingle at all, their text; only those are searched. Ids stay with their rows in Arrow and are never
+turned into floating-point numbers.
+
 The index of the items is sent to the tasks in blocks of at most `block_windows` windows. Few items are
 one block; more items are more passes over the documents, whose hits are merged per document. No result
 depends on the number of blocks.
 
 Defined cases: null and empty texts have no words; an item without words has no window; a repeated
-`item_id` counts once; an item shorter than a window is one window; rows that repeat an id each get a row.
+`item_id` counts once; an item shorter than a window is one window; rows that repeat an id each get a row, and
+so do rows without an id.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlens.sources.materialise import materialise
+
 WINDOW = 10
 SHINGLE = 5
 BLOCK_WINDOWS = 1_000_000
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+#: Bytes of a word stand for themselves, A-Z for a-z; all others end a word.
+LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 #: Odd multiplier of the rolling hash; equal hashes are only candidates, words decide.
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").translate(LOWER))
+def words_of(text: str | bytes | None) -> list[bytes]:
+    raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
+    return raw.translate(LETTERS).split()
 
 
 def shingle_keys(ids: np.ndarray, width: int) -> np.ndarray:
@@ -73,17 +83,20 @@ class Windows:
 
 @dataclass
 class Index:
-    ids: dict[str, int]  # word to number; 0 is any other word
+    ids: dict[bytes, int]  # word to number; 0 is any other word
     items: list
     groups: list[Windows]
 
-    def numbers(self, words: list[str]) -> np.ndarray:
-        get = self.ids.get
-        return np.fromiter((get(w, 0) for w in words), np.int64, len(words))
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        return numbers_of(self.ids, words)
+
+
+def numbers_of(ids: dict[bytes, int], words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(ids.get, words, repeat(0)), np.int64, len(words))
 
 
 def build_index(items: pd.DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> Index:
-    ids: dict[str, int] = {}
+    ids: dict[bytes, int] = {}
     by_length: dict[int, list] = {}
     names = []
     for name, text in zip(items["item_id"], items["text"], strict=True):
@@ -101,7 +114,7 @@ def build_index(items: pd.DataFrame, window: int = WINDOW, shingle: int = SHINGL
     return Index(ids, names, groups)
 
 
-def find(index: Index, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def find(index: Index, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of the hit stretches (merged, in order) and the numbers of the items that occur."""
     ids, n = index.numbers(words), len(words)
     edges, found = np.zeros(n + 1, np.int64), []
@@ -136,59 +149,88 @@ def find(index: Index, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return spans, np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
-def _with_counts(rows: DataFrame, index: Index) -> Index:
-    """Choose the rarest shingle of each window by its count over all documents."""
-    widths: dict[int, np.ndarray] = {}
-    for group in index.groups:
-        widths[group.width] = np.union1d(widths.get(group.width, np.zeros(0, np.uint64)), group.shingles().ravel())
-    shared = rows.sparkSession.sparkContext.broadcast((index.ids, widths))
+WRITTEN = "_id long, _digest string, n_words long, text string, w long, at long, n long"
+
+
+def _first_pass(rows: DataFrame, shared: Broadcast) -> DataFrame:
+    """A row per document - with its text only if it holds a shingle of an item - and the counts of the shingles."""
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, wanted = shared.value
         sums = {w: np.zeros(len(k), np.int64) for w, k in wanted.items()}
-        get = ids.get
-        for frame in frames:
-            for text in frame["text"]:
-                words = words_of(text)
-                numbers = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
+        for batch in batches:
+            sizes, holds = [], []
+            for raw in batch.column("text").cast(pa.binary()).to_pylist():
+                words = words_of(raw)
+                numbers, holding = numbers_of(ids, words), False
+                known = numbers > 0
                 for w, keys in wanted.items():
-                    if len(numbers) < w:
+                    if len(words) < w or not len(keys):
                         continue
-                    own = shingle_keys(numbers, w)[(numbers[: len(numbers) - w + 1] > 0) & (numbers[w - 1 :] > 0)]
-                    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-                    sums[w] += np.bincount(at[keys[at] == own], minlength=len(keys))
+                    at = np.flatnonzero(known[: len(known) - w + 1] & known[w - 1 :])
+                    if not len(at):
+                        continue
+                    own = shingle_keys(numbers, w)[at]
+                    place = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                    place = place[keys[place] == own]
+                    holding |= len(place) > 0
+                    np.add.at(sums[w], place, 1)
+                sizes.append(len(words))
+                holds.append(holding)
+            none = pa.nulls(len(sizes), pa.int64())
+            text = pa.compute.if_else(pa.array(holds, pa.bool_()), batch.column("text"), pa.scalar(None, pa.string()))
+            yield _written(batch.column("_id"), batch.column("_digest"), pa.array(sizes, pa.int64()), text, none, none, none)
         for w, total in sums.items():
             at = np.flatnonzero(total)
-            yield pd.DataFrame({"w": np.int64(w), "at": at, "n": total[at]})
+            none, nothing = pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.string())
+            yield _written(none, nothing, none, nothing, pa.array(np.full(len(at), w)), pa.array(at), pa.array(total[at]))
+
+    return rows.mapInArrow(run, WRITTEN)
+
+
+def _written(*columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), ["_id", "_digest", "n_words", "text", "w", "at", "n"])
+
 
-    counted = rows.select("text").mapInPandas(count, "w long, at long, n long").groupBy("w", "at").agg(F.sum("n").alias("n"))
+def _hits(rows: DataFrame, index: Index) -> DataFrame:
+    """`_id`, `_digest`, `n_words`, `starts`, `ends`, `items` of every row, written."""
+    context = rows.sparkSession.sparkContext
+    widths: dict[int, np.ndarray] = {}
+    for group in index.groups:
+        widths[group.width] = np.union1d(widths.get(group.width, np.zeros(0, np.uint64)), group.shingles().ravel())
+    shared = context.broadcast((index.ids, widths))
+    written = materialise(_first_pass(rows, shared), "words")
+    shared.destroy()
     counts = {w: np.zeros(len(k), np.int64) for w, k in widths.items()}
+    counted = written.filter("w IS NOT NULL").groupBy("w", "at").agg(F.sum("n").alias("n"))
     for w, at, n in counted.collect():  # at most one row for each shingle of the block
         counts[w][at] = n
     for group in index.groups:
         group.pick(widths[group.width], counts[group.width])
-    shared.unpersist()
-    return index
-
-
-def _search(rows: DataFrame, index: Index) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(index)
-
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = shared.value
-        for frame in frames:
-            out = []
-            for text in frame["text"]:
-                words = words_of(text)
-                spans, items = find(own, words)
-                out.append((len(words), spans[:, 0].tolist(), spans[:, 1].tolist(), [own.items[i] for i in items]))
-            yield pd.concat(
-                [frame[["_id", "_digest"]], pd.DataFrame(out, columns=["n_words", "starts", "ends", "items"], index=frame.index)],
-                axis=1,
-            )
+    whole = context.broadcast(index)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = whole.value
+        for batch in batches:
+            starts, ends, items = [], [], []
+            for raw in batch.column("text").cast(pa.binary()).to_pylist():
+                spans, found = find(own, words_of(raw))
+                starts.append(spans[:, 0].tolist())
+                ends.append(spans[:, 1].tolist())
+                items.append([own.items[i] for i in found])
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (starts, ends, items)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], ["_id", "_digest", "n_words", "starts", "ends", "items"])
 
     schema = "_id long, _digest string, n_words long, starts array<long>, ends array<long>, items array<long>"
-    return rows.mapInPandas(search, schema)
+    rows = written.filter("n_words IS NOT NULL").select("_id", "_digest", "n_words", "text")
+    found = rows.filter("text IS NOT NULL").mapInArrow(search, schema)
+    nothing = F.array().cast("array<long>")
+    others = rows.filter("text IS NULL").select(
+        "_id", "_digest", "n_words", *[nothing.alias(c) for c in ("starts", "ends", "items")]
+    )
+    hits = materialise(found.unionByName(others), "hits")
+    whole.destroy()
+    return hits
 
 
 def _merge(parts: list[DataFrame]) -> DataFrame:
@@ -235,8 +277,9 @@ def contamination(
     parts = []
     for k in range(blocks):
         # the texts of one block hold at most about `block_windows` words
-        block = listed.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).toPandas()
-        parts.append(_search(rows, _with_counts(rows, build_index(block, window, shingle))))
+        block = listed.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
+        frame = pd.DataFrame([tuple(r) for r in block], columns=["item_id", "text"], dtype=object)
+        parts.append(_hits(rows, build_index(frame, window, shingle)))
     if blocks == 1:
         merged = parts[0].withColumn("spans", F.arrays_zip("starts", "ends")).withColumn("items", F.array_distinct("items"))
     else:

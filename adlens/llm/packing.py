@@ -1,7 +1,9 @@
 """Pack documents into sequences of fixed length: first-fit decreasing in randomised groups of documents.
 
-Documents are dealt by a hash into groups of about `group_docs`; each group is tokenised and packed by
-itself, in one task, from its own rows alone, so a lost executor costs some groups and the result stays.
+Documents are dealt at random into groups of about `group_bytes` of text; each group is tokenised and packed by
+itself, in one task, from its own rows alone, so a lost executor costs some groups and the result stays. A row's
+place in the input takes part in the draw, so copies of a row do not meet in one group. Ids stay with their rows in
+Arrow and are never turned into floating-point numbers.
 A document is cut into full sequences and a remainder. Remainders go, longest first, into the first
 sequence with room, found in a tournament tree over the room of all open sequences. Then the emptiest
 sequences are dissolved and poured into the gaps of the fullest, cutting pieces where a gap ends. What
@@ -18,51 +20,90 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LENGTH = 4096
-GROUP_DOCS = 1024
 END_ID = 2
-#: Words remembered by a worker; forgetting them only costs time.
-KNOWN_WORDS = 400_000
+#: About so many bytes of texts in a group, and of remembered words in a worker; forgetting these only costs time.
+GROUP_BYTES = 4 << 20
+KNOWN_BYTES = 64 << 20
+#: What a remembered word takes beside its bytes and ids: two objects and a place in a dictionary.
+WORD_COST = 180
+#: Words that go to the tokenizer as one text.
+TOGETHER = 2000
 #: Sequences of one group get numbers of their own below this.
 SEQUENCES = 1 << 24
+PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
 class WordEncoder:
     """Token ids of texts; each different chunk between ASCII white space is encoded once.
 
-    Right for tokenizers that drop white space and never look across it.
+    Right for tokenizers that drop white space and never look across it. If all ids that end a word are known by
+    their `suffix`, plain words are encoded many at a time and the ids cut after each of these; marks behind a word
+    are then encoded apart from it, as the tokenizer itself would split them.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, suffix: str = "</w>") -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        chunks = [t.split(" ") if t.isascii() and "\n" not in t and "\t" not in t else t.translate(SPACES).split(" ") for t in texts]
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        new = list(set().union(*chunks).difference(self.known))
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(found.ids, np.uint32).tobytes()
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for word, number in self.tokenizer.get_vocab().items():
+            self.ends[number] = word.endswith(suffix)
+        self.known: dict[bytes, bytes] = {}
+        self.size = 0
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        chunks = [t.split() for t in texts]
+        if self.size > KNOWN_BYTES:
+            self.known, self.size = {}, 0
+        self.learn(list(set().union(*chunks).difference(self.known)))
+        known = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(known, own)), np.uint32) for own in chunks]
+
+    def learn(self, new: list[bytes]) -> None:
+        parts = {chunk: self._parts(chunk) for chunk in new}
+        units = {u for p in parts.values() for u in p}.difference(self.known)
+        words = [u for u in units if u.decode().isalpha()]
+        found = {}
+        for k in range(0, len(words), TOGETHER):
+            found |= self._together(words[k : k + TOGETHER])
+        rest = [u for u in units if u not in found]
+        for unit, ids in zip(rest, self.tokenizer.encode_batch_fast([u.decode() for u in rest], add_special_tokens=False), strict=True):
+            found[unit] = np.array(ids.ids, np.uint32).tobytes()
         known = self.known
-        return [np.frombuffer(b"".join([known[w] for w in own]), np.uint32) for own in chunks]
-
-
-@lru_cache(maxsize=2)
+        known |= found
+        for chunk, own in parts.items():
+            if len(own) > 1:
+                found[chunk] = known[chunk] = b"".join([known[u] for u in own])
+        self.size += sum(len(u) + len(ids) for u, ids in found.items()) + WORD_COST * len(found)
+
+    def _parts(self, chunk: bytes) -> tuple[bytes, ...]:
+        """The word and the marks behind it, where the tokenizer splits there whatever they are."""
+        word = chunk.rstrip(PUNCTUATION)
+        if not word or len(word) == len(chunk) or b"<|" in chunk or not word.decode()[-1].isalnum():
+            return (chunk,)
+        return word, chunk[len(word) :]
+
+    def _together(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words of letters; nothing if the ids do not fall into as many words as went in."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, np.uint32)
+        ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(ends) != len(words) or ends[-1] != 4 * len(ids):
+            return {}
+        raw = ids.tobytes()
+        return {w: raw[a:b] for w, a, b in zip(words, [0, *ends[:-1]], ends, strict=True)}
+
+
+@lru_cache(maxsize=1)
 def encoder_for(path: str) -> WordEncoder:
     """One encoder for all tasks that a worker runs."""
     return WordEncoder(path)
 
 
-SPACES = {9: " ", 10: " ", 11: " ", 12: " ", 13: " "}
-
-
 def first_fit_decreasing(sizes: np.ndarray, room: int) -> np.ndarray:
     """The bin of each size: sizes from largest to smallest, each into the first bin with room."""
     leaves = 1 << max(int(len(sizes) - 1).bit_length(), 0)
@@ -141,7 +182,7 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     length: int = LENGTH,
-    group_docs: int = GROUP_DOCS,
+    group_bytes: int = GROUP_BYTES,
     end_id: int = END_ID,
     with_ids: bool = False,
 ) -> DataFrame:
@@ -149,30 +190,31 @@ def pack(
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")
     )
-    groups = max(1, -(-rows.count() // group_docs))
-    dealt = rows.withColumn("pack", F.pmod(F.xxhash64("doc_id", F.length("text"), F.substring("text", 1, 64)), F.lit(groups)))
-
-    def packed(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["doc_id", "text"], kind="stable")
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    groups = max(1, -(-size // group_bytes))
+    place = F.xxhash64("doc_id", F.octet_length("text"), F.substring("text", 1, 64), F.monotonically_increasing_id())
+    dealt = rows.withColumn("pack", F.pmod(place, F.lit(groups)))
+
+    def packed(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        names, texts = table["doc_id"].to_pylist(), table["text"].cast(pa.binary()).to_pylist()
+        order = sorted(range(len(names)), key=lambda i: (names[i] is None, names[i] or 0, texts[i]))
         encoder = encoder_for(tokenizer_path)
-        names = frame["doc_id"].to_numpy()
-        ids = [np.append(x, np.uint32(end_id)) for x in encoder.encode(frame["text"].tolist())]
+        ids = [np.append(x, np.uint32(end_id)) for x in encoder.encode([texts[i] for i in order])]
         pieces = pack_lengths([len(x) for x in ids], length)
         cut = [ids[d][s : s + n].astype("<u4") for d, s, n, _, _ in pieces]
-        out = pd.DataFrame(
-            {
-                "doc_id": [names[p[0]] for p in pieces],
-                "start": [p[1] for p in pieces],
-                "length": [p[2] for p in pieces],
-                "ids_crc32": [zlib.crc32(x.tobytes()) for x in cut],
-                "doc_tokens": [len(ids[p[0]]) for p in pieces],
-                "sequence_id": [int(key[0]) * SEQUENCES + p[3] for p in pieces],
-                "offset": [p[4] for p in pieces],
-            }
-        )
+        columns = {
+            "doc_id": table["doc_id"].take(pa.array([order[p[0]] for p in pieces], pa.int64())),
+            "start": pa.array([p[1] for p in pieces], pa.int64()),
+            "length": pa.array([p[2] for p in pieces], pa.int64()),
+            "ids_crc32": pa.array([zlib.crc32(x.tobytes()) for x in cut], pa.int64()),
+            "doc_tokens": pa.array([len(ids[p[0]]) for p in pieces], pa.int64()),
+            "sequence_id": pa.array([key[0].as_py() * SEQUENCES + p[3] for p in pieces], pa.int64()),
+            "offset": pa.array([p[4] for p in pieces], pa.int64()),
+        }
         if with_ids:
-            out["ids"] = [x.astype(np.int64) for x in cut]
-        return out
+            columns["ids"] = pa.array([x.astype(np.int64) for x in cut], pa.list_(pa.int64()))
+        return pa.table(columns)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return dealt.groupBy("pack").applyInPandas(packed, schema + (", ids array<long>" if with_ids else ""))
+    return dealt.groupBy("pack").applyInArrow(packed, schema + (", ids array<long>" if with_ids else ""))

@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,13 +58,13 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
     """`id`, `fp` (the fingerprint as a signed long) for every row."""
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            prints = np.array([fingerprint(t, words) for t in frame["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"id": frame["id"], "fp": prints.view(np.int64)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # ids stay in Arrow: a null among them changes no other id
+            prints = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["id", "fp"])
 
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return narrow.mapInPandas(batches, "id long, fp long")
+    return narrow.mapInArrow(run, "id long, fp long")
 
 
 def covering_masks(radius: int = RADIUS) -> list[int]:

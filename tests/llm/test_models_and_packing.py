@@ -62,10 +62,10 @@ def test_first_fit_decreasing_matches_a_plain_loop():
 
 def test_packing_round_trip(spark):
     rows = read(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet'")
-    odd = ["", None, "  A b c\x0bd\re ", "don't <|endoftext|>'s ÀÉ́ 1234 ---", "x" * 9000, "İΣ ς", "a\n\n\nb"]
+    odd = ["", None, "  A b c\x0bd\re ", "don't <|endoftext|>'s ÀÉ́ 1234 ---", "x" * 9000, "İΣ ς", "a\n\n\nb", "».. «a» e\u0301, \u0301. ÉTÉ!? x=\u0338 2,5 a.b. 日本, word.\u00a0b ı İx, it's, dogs'. ,a"]
     rows += [(10_000 + k, t) for k, t in enumerate(odd)] + [(10_000, "")]
     docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, length int, pack int")
-    got = packing.pack(docs, queries.tokenizer_path(), group_docs=60, with_ids=True).collect()
+    got = packing.pack(docs, queries.tokenizer_path(), group_bytes=150_000, with_ids=True).collect()
     whole = Tokenizer.from_file(queries.tokenizer_path())
     expected = sorted((i, whole.encode(t or "", add_special_tokens=False).ids + [2]) for i, t in rows)
     parts: dict = {}
