@@ -38,18 +38,23 @@ def with_hint(df: DataFrame, keys: list[Column], bitmap: DataFrame, name: str) -
     )
 
 
-def without_ids(docs: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
-    """Rows of `docs` whose `key` is not in `dropped`; only possible matches are shuffled.
+def text_digest(text: Column) -> Column:
+    """128 bits of a text, null read as empty: what tells rows apart whose ids are equal or missing."""
+    return F.md5(F.encode(F.coalesce(text.cast("string"), F.lit("")), "UTF-8"))
 
-    Rows with a null key stay. The columns are those of `docs`, whatever their names.
+
+def without_texts(docs: DataFrame, dropped: DataFrame, text_col: str, id_col: str | None = None) -> DataFrame:
+    """Rows of `docs` whose text digest - with `id_col`, whose id and digest - is not among the rows of `dropped`.
+
+    `dropped` has `digest` and, with `id_col`, `id`; a null id equals a null id. Only possible matches are shuffled.
     """
-    gone = dropped.select(F.col(dropped.columns[0]).alias("_gone")).distinct()
+    keys = ["digest", "id"] if id_col else ["digest"]
+    gone = dropped.select(*[F.col(k).alias(f"_gone_{k}") for k in keys]).distinct()
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    hinted = with_hint(
-        packed.withColumn("_key", F.col(f"_row.`{key}`")),
-        [F.col("_key")],
-        bitmap_of(gone, [F.col("_gone")]),
-        "_hint",
-    )
-    rest = hinted.filter("_hint").join(gone, F.col("_key") == F.col("_gone"), "left_anti")
+    keyed = packed.withColumn("_digest", text_digest(F.col(f"_row.`{text_col}`")))
+    hinted = with_hint(keyed, [F.col("_digest")], bitmap_of(gone, [F.col("_gone_digest")]), "_hint")
+    same = F.col("_digest") == F.col("_gone_digest")
+    if id_col:
+        same &= F.col(f"_row.`{id_col}`").cast("long").eqNullSafe(F.col("_gone_id"))
+    rest = hinted.filter("_hint").join(gone, same, "left_anti")
     return hinted.filter("NOT _hint").select("_row.*").unionByName(rest.select("_row.*"))

@@ -31,6 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlens.llm.bitmap import text_digest
 from adlens.sources.materialise import materialise
 
 WINDOW = 10
@@ -262,8 +263,10 @@ def contamination(
     window: int = WINDOW,
     shingle: int = SHINGLE,
     block_windows: int = BLOCK_WINDOWS,
+    with_digest: bool = False,
 ) -> DataFrame:
-    """`id`, `n_words`, `n_hit`, `items` (ids of items with occurring windows) for every row of `docs`."""
+    """`id`, `n_words`, `n_hit`, `items` (ids of items with occurring windows) for every row of `docs`, and on request
+    the `digest` of its text."""
     listed = items.select(
         F.col(f"`{item_id_col}`").cast("long").alias("item_id"), F.coalesce(F.col(f"`{item_text_col}`"), F.lit("")).alias("text")
     ).distinct()
@@ -272,7 +275,7 @@ def contamination(
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("_id"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
-        (F.md5(F.encode(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "UTF-8")) if blocks > 1 else F.lit(None).cast("string")).alias("_digest"),
+        (text_digest(F.col(f"`{text_col}`")) if blocks > 1 or with_digest else F.lit(None).cast("string")).alias("_digest"),
     )
     parts = []
     for k in range(blocks):
@@ -293,4 +296,5 @@ def contamination(
             F.greatest(acc["to"], s["ends"]).alias("to"),
         ),
     )
-    return merged.select(F.col("_id").alias("id"), "n_words", covered["n"].alias("n_hit"), "items")
+    digest = [F.col("_digest").alias("digest")] if with_digest else []
+    return merged.select(F.col("_id").alias("id"), "n_words", covered["n"].alias("n_hit"), "items", *digest)

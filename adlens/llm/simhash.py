@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlens.llm.bitmap import text_digest
 from adlens.llm.components import components
 from adlens.sources.materialise import materialise
 
@@ -56,15 +57,17 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """`id`, `fp` (the fingerprint as a signed long) for every row."""
+    """`id`, `digest` (of the text), `fp` (the fingerprint as a signed long) for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:  # ids stay in Arrow: a null among them changes no other id
             prints = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["id", "fp"])
+            columns = [batch.column(0), batch.column(2), pa.array(prints.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "digest", "fp"])
 
-    narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return narrow.mapInArrow(run, "id long, fp long")
+    text = F.col(f"`{text_col}`")
+    narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"), text_digest(text).alias("digest"))
+    return narrow.mapInArrow(run, "id long, digest string, fp long")
 
 
 def covering_masks(radius: int = RADIUS) -> list[int]:
@@ -198,7 +201,8 @@ def near_duplicates(
     radius: int = RADIUS,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """`id`, `fp`, `component_id` (the smallest id that links reach) for every row of `docs`."""
+    """`id`, `digest`, `fp`, `component_id` (the smallest id that links reach), `root` (the component's smallest
+    fingerprint) for every row of `docs`."""
     rows = materialise(fingerprints(docs, id_col, text_col, words), "prints")
     nodes = rows.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(close_links(nodes.select("fp"), radius, bucket_rows))
@@ -209,4 +213,16 @@ def near_duplicates(
         "placed",
     )
     names = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(placed.join(names, "root").select("fp", "component_id"), "fp")
+    return rows.join(placed.join(names, "root").select("fp", "component_id", "root"), "fp")
+
+
+def surplus(found: DataFrame) -> DataFrame:
+    """`id`, `digest` of the rows of `near_duplicates` that go if one of each group stays.
+
+    The one with the smallest id stays, ids before nulls, of equal ids the one with the smallest digest. Rows equal in
+    id and text are one document: they stay or go together.
+    """
+    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "digest")
+    placed = found.select("root", "id", "digest", place.alias("place"))
+    first = materialise(placed.groupBy("root").agg(F.min("place").alias("first")), "firsts")
+    return placed.join(first, "root").filter(~F.col("place").eqNullSafe(F.col("first"))).select("id", "digest")
