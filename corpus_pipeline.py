@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.llm import decontaminate, exact_dedup, packing, quality, simhash
-from adlens.llm.bitmap import without_ids
+from adlens.llm.bitmap import without_texts
 from adlens.llm.queries import QUALITY_LEAST, quality_model, tokenizer_path
 from adlens.sources.materialise import materialise
 
@@ -27,16 +27,19 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id."""
-    rows = simhash.near_duplicates(docs)
-    return without_ids(docs, rows.filter("id <> component_id").select("id"), "doc_id")
+    """Of each group of near copies the document with the smallest id; rows without an id come last.
+
+    Rows are told apart by id and text, so two texts under one id, or without one, are judged each by itself.
+    """
+    found = materialise(simhash.near_duplicates(docs), "near_copies")
+    return without_texts(docs, materialise(simhash.surplus(found), "surplus"), "text", "doc_id")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Documents without a benchmark passage; judged by their text, whatever their id."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = materialise(decontaminate.contamination(docs, items).filter("n_hit > 0").select("id"), "contaminated")
-    return without_ids(docs, found, "doc_id")
+    hits = decontaminate.contamination(docs, items, with_digest=True).filter("n_hit > 0")
+    return without_texts(docs, materialise(hits.select("digest"), "contaminated"), "text")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
