@@ -14,6 +14,7 @@ from adlens.operators.brackets import RANK_ERROR, bracket_ends, exact_in_bracket
 from adlens.operators.lookups import few_keys, join_lookup
 from adlens.operators.normalize import numeric_columns
 from adlens.schemas import DAY_NAMES
+from adlens.sources.materialise import materialise
 
 TARGET = "clicked"
 
@@ -252,20 +253,31 @@ def freq_vs_ctr(df: DataFrame, entity: str = "user_id", target: str = TARGET, n:
 def trend_line(df: DataFrame, entity: str = "user_id", target: str = TARGET) -> DataFrame:
     """Least-squares line of the target on the entity's frequency, over all rows.
 
-    All rows of an entity share one frequency, so the sums over rows are weighted sums over the
-    much smaller table of entities.
+    All rows of entities that are equally frequent share one point, so rows shrink to entities and those to distinct
+    frequencies, which are written once; the sums are then taken around the means.
     """
     per = df.filter(F.col(entity).isNotNull()).groupBy(entity).agg(
-        F.count(F.lit(1)).cast("double").alias("f"), F.sum(target).cast("double").alias("y")
+        F.count(F.lit(1)).alias("f"), F.sum(target).cast("double").alias("y")
     )
-    f, y = F.col("f"), F.col("y")
-    sums = per.agg(
-        F.sum(f).alias("n"), F.sum(f * f).alias("sx"), F.sum(f * f * f).alias("sxx"),
-        F.sum(y).alias("sy"), F.sum(f * y).alias("sxy"),
-    )
-    n, sx, sxx, sy, sxy = (F.col(c) for c in ("n", "sx", "sxx", "sy", "sxy"))
-    slope = F.try_divide(n * sxy - sx * sy, n * sxx - sx * sx)
-    return sums.select(slope.alias("slope"), ((sy - slope * sx) / n).alias("intercept"))
+    points = materialise(
+        per.groupBy(F.col("f").cast("double").alias("f")).agg(
+            F.sum("f").cast("double").alias("w"), F.sum("y").alias("y")
+        ),
+        "frequencies",
+    )
+    means = points.agg(
+        (F.sum(F.col("w") * F.col("f")) / F.sum("w")).alias("mf"), (F.sum("y") / F.sum("w")).alias("my")
+    )
+    # Size bound: one row.
+    gap = F.col("f") - F.col("mf")
+    sums = points.crossJoin(F.broadcast(means)).agg(
+        F.sum(gap * (F.col("y") - F.col("w") * F.col("my"))).alias("sxy"),
+        F.sum(F.col("w") * gap * gap).alias("sxx"),
+        F.first("mf").alias("mf"),
+        F.first("my").alias("my"),
+    )
+    slope = F.try_divide("sxy", "sxx")
+    return sums.select(slope.alias("slope"), (F.col("my") - slope * F.col("mf")).alias("intercept"))
 
 
 def value_histogram(

@@ -14,10 +14,10 @@ from math import isnan
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adlens.operators.comoments import co_moments
 from adlens.operators.normalize import numeric_columns
 
 TARGET = "clicked"
-PAIRS_PER_PASS = 100
 PAIR_SCHEMA = "feature_1 string, feature_2 string, correlation double"
 
 
@@ -59,57 +59,15 @@ def variance_report(df: DataFrame, threshold: float = 0.01, target: str = TARGET
 def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None, target: str = TARGET) -> DataFrame:
     """Absolute Pearson correlation of every pair of numeric columns, over rows that have both.
 
-    A constant column has no correlation: null. Columns without gaps share one pass that sums the
-    whole matrix; a pair with a gap needs sums of its own, since its rows differ from pair to pair.
+    One scan for all pairs, with gaps or without. A column that is constant over the common rows has no correlation:
+    null. NaN and infinities count as missing, as for the variance.
     """
     columns = list(columns or numeric_columns(df, [target]))
-    values = df.select(*[_value(c).alias(c) for c in columns])
-    gaps = values.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first().asDict()
-    complete = [c for c in columns if not gaps[c]]
-    pairs = [p for p in combinations(columns, 2) if gaps[p[0]] or gaps[p[1]]]
-    parts = [_matrix_pairs(values, complete)] if len(complete) > 1 else []
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        parts.append(_gap_pairs(values, pairs[start : start + PAIRS_PER_PASS]))
-    out = parts[0] if parts else df.sparkSession.createDataFrame([], PAIR_SCHEMA)
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def _matrix_pairs(values: DataFrame, columns: Sequence[str]) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="_vector").transform(values)
-    matrix = Correlation.corr(vectors.select("_vector"), "_vector").first()[0].toArray()
-    rows = [
-        (a, b, None if isnan(matrix[i, j]) else abs(float(matrix[i, j])))
-        for (i, a), (j, b) in combinations(enumerate(columns), 2)
-    ]
-    return values.sparkSession.createDataFrame(rows, PAIR_SCHEMA)
-
-
-def _gap_pairs(values: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    one_row = values.agg(*[_absolute_correlation(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    rows = [
-        F.struct(
-            F.lit(a).alias("feature_1"),
-            F.lit(b).alias("feature_2"),
-            F.nanvl(F.col(f"r{i}"), F.lit(None).cast("double")).alias("correlation"),
-        )
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return one_row.select(F.inline(F.array(*rows)))
-
-
-def _absolute_correlation(a: str, b: str) -> Column:
-    """|r| as the root of r squared, which unlike r itself is null, not an error, for a constant."""
-    return F.when(F.regr_r2(b, a).isNotNull(), F.sqrt(F.regr_r2(a, b)))
-
-
-def _value(column: str) -> Column:
-    v = F.col(column).cast("double")
-    return F.when(~F.isnan(v), v)
+    if len(columns) < 2:
+        return df.sparkSession.createDataFrame([], PAIR_SCHEMA)
+    r = co_moments(df, [_finite(c) for c in columns]).correlations()
+    rows = [(a, b, None if isnan(r[i, j]) else abs(float(r[i, j]))) for (i, a), (j, b) in combinations(enumerate(columns), 2)]
+    return df.sparkSession.createDataFrame(rows, PAIR_SCHEMA)
 
 
 def high_correlation_report(df: DataFrame, threshold: float = 0.95, target: str = TARGET) -> DataFrame:
