@@ -2,7 +2,7 @@
 
 A window partitioned by a key puts all rows of the key in one task. That is the best plan while
 keys are small, and an impossible one when a key holds a third of the table. Every function here
-first asks for the heaviest keys (one map-side combined count) and sends only those through a
+first asks for the heavy keys (by summaries of bounded size) and sends only those through a
 second path, in which rows are range-partitioned by key *and* order, so that no task is larger
 than another however the keys are distributed.
 """
@@ -16,51 +16,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from adlens.operators.heavy import heavy_keys
 from adlens.sources.materialise import materialise
 
 HOT_ROWS = 5_000_000
-MAX_HOT_KEYS = 10_000
-MAX_SEGMENTS = 50_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> list:
-    """The keys with more than `hot_rows` rows, heaviest first, with their row counts.
-
-    At most MAX_HOT_KEYS rows come back. A key beyond that rank holds at most 1/MAX_HOT_KEYS of
-    the table, because all keys above it are at least as heavy; the plain path handles it.
-    """
-    return (
-        df.dropna(subset=list(keys))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > (hot_rows or HOT_ROWS))
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
+    """All keys with more than `hot_rows` rows, heaviest first, with their row counts."""
+    return heavy_keys(df, [keys], hot_rows or HOT_ROWS)[0]
 
 
 def hot_values(df: DataFrame, columns: Sequence[str], hot_rows: int | None = None) -> dict[str, list]:
     """`hot_keys` of several single-column keys from one scan."""
-    if not columns:
-        return {}
-    values = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-    found = hot_keys(df.select(F.inline(values)), ["column", "value"], hot_rows)
-    types = {f.name: f.dataType for f in df.select(*columns).schema}
-    out: dict[str, list] = {c: [] for c in columns}
-    for row in found:
-        out[row["column"]].append(row)
-    for column, rows in out.items():
-        if rows:
-            text = df.sparkSession.createDataFrame([(r["value"], r["_rows"]) for r in rows], "value string, _rows bigint")
-            out[column] = text.select(F.col("value").cast(types[column]).alias(column), "_rows").collect()
-    return out
+    return dict(zip(columns, heavy_keys(df, [[c] for c in columns], hot_rows or HOT_ROWS), strict=True)) if columns else {}
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: list) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys and rows of the given hot keys; rows with a null key are ordinary."""
     schema = df.select(*keys).schema
-    # Size bound: MAX_HOT_KEYS rows.
+    # Size bound: a key of this table holds more than `hot_rows` rows, so they are few beside the rows.
     table = F.broadcast(
         df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema)
     )
@@ -97,7 +72,7 @@ def running(
         return _running_plain(df, keys, keys, order, sums, lasts, totals, inclusive)
     cold_rows, hot_rows_df = split_hot(df, keys, hot)
     if segments is None:
-        segments = min(MAX_SEGMENTS, max(2, ceil(sum(r["_rows"] for r in hot) / (hot_rows or HOT_ROWS))))
+        segments = max(2, ceil(sum(r["_rows"] for r in hot) / (hot_rows or HOT_ROWS)))
     return _running_plain(cold_rows, keys, keys, order, sums, lasts, totals, inclusive).unionByName(
         _running_segmented(hot_rows_df, keys, order, sums, lasts, totals, inclusive, segments)
     )
@@ -147,7 +122,7 @@ def _running_segmented(df, keys, order, sums, lasts, totals, inclusive, segments
     out = local.join(F.broadcast(carry), [*keys, "_segment"], "left")
     if totals:
         whole = rows.groupBy(*keys).agg(*[F.sum(e).alias(n) for n, e in totals.items()])
-        # Size bound: the rows hold at most MAX_HOT_KEYS keys.
+        # Size bound: one row per hot key.
         out = out.join(F.broadcast(whole), keys, "left")
     return out.select(
         *df.columns,
