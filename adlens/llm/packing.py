@@ -28,7 +28,7 @@ LENGTH = 4096
 END_ID = 2
 #: About so many bytes of texts in a group, and of remembered words in a worker; forgetting these only costs time.
 GROUP_BYTES = 4 << 20
-KNOWN_BYTES = 64 << 20
+KNOWN_BYTES = 128 << 20
 #: What a remembered word takes beside its bytes and ids: two objects and a place in a dictionary.
 WORD_COST = 180
 #: Words that go to the tokenizer as one text.
@@ -53,20 +53,26 @@ class WordEncoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for word, number in self.tokenizer.get_vocab().items():
             self.ends[number] = word.endswith(suffix)
+        # Words of late, and those before them that were not asked for since: the rare ones go, the others stay.
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         self.size = 0
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         chunks = [t.split() for t in texts]
-        if self.size > KNOWN_BYTES:
-            self.known, self.size = {}, 0
-        self.learn(list(set().union(*chunks).difference(self.known)))
+        if self.size > KNOWN_BYTES // 2:
+            self.known, self.before, self.size = {}, self.known, 0
+        asked = set().union(*chunks).difference(self.known)
+        self.remember({w: self.before[w] for w in asked.intersection(self.before)})
+        self.learn(list(asked.difference(self.known)))
         known = self.known.__getitem__
         return [np.frombuffer(b"".join(map(known, own)), np.uint32) for own in chunks]
 
     def learn(self, new: list[bytes]) -> None:
         parts = {chunk: self._parts(chunk) for chunk in new}
         units = {u for p in parts.values() for u in p}.difference(self.known)
+        self.remember({u: self.before[u] for u in units.intersection(self.before)})
+        units.difference_update(self.known)
         words = [u for u in units if u.decode().isalpha()]
         found = {}
         for k in range(0, len(words), TOGETHER):
@@ -74,12 +80,13 @@ class WordEncoder:
         rest = [u for u in units if u not in found]
         for unit, ids in zip(rest, self.tokenizer.encode_batch_fast([u.decode() for u in rest], add_special_tokens=False), strict=True):
             found[unit] = np.array(ids.ids, np.uint32).tobytes()
+        self.remember(found)
         known = self.known
-        known |= found
-        for chunk, own in parts.items():
-            if len(own) > 1:
-                found[chunk] = known[chunk] = b"".join([known[u] for u in own])
-        self.size += sum(len(u) + len(ids) for u, ids in found.items()) + WORD_COST * len(found)
+        self.remember({chunk: b"".join([known[u] for u in own]) for chunk, own in parts.items() if len(own) > 1})
+
+    def remember(self, found: dict[bytes, bytes]) -> None:
+        self.known |= found
+        self.size += sum(map(len, found)) + sum(map(len, found.values())) + WORD_COST * len(found)
 
     def _parts(self, chunk: bytes) -> tuple[bytes, ...]:
         """The word and the marks behind it, where the tokenizer splits there whatever they are."""
