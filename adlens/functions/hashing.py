@@ -31,9 +31,3 @@ def hash_bucket(text: Column, n: int) -> Column:
 def hash_rank(row_id: Column, seed: int = 42) -> Column:
     """Pseudo-random order key of a row: 32 hex digits, uniform and reproducible."""
     return F.md5(F.concat(F.lit(f"{seed}:"), row_id.cast("string")).cast("binary"))
-
-
-def hash_columns(column: Column, name: str, n_features: int = 10) -> list[Column]:
-    """Indicator columns `{name}_hash_{i}` of the md5 bucket of a value."""
-    bucket = md5_mod(column.cast("string"), n_features)
-    return [F.when(bucket == i, 1).otherwise(0).alias(f"{name}_hash_{i}") for i in range(n_features)]

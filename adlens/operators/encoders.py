@@ -1,7 +1,7 @@
 """Encodings of high-cardinality keys: frequency, out-of-fold target mean, hash indicators.
 
-The fitted state of a key column is one table, one row per key value. Fitting is one map-side
-combined aggregate and applying it is one join, whatever the number of folds.
+The fitted state of a key column is one table, one row per key value. Fitting all of them is one map-side
+combined aggregate and applying each is one join, whatever the number of folds.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adlens.functions.hashing import hash_bucket, hash_columns, md5_mod
-from adlens.operators.lookups import few_keys, join_lookup
+from adlens.functions.hashing import hash_bucket, md5_mod
+from adlens.operators.lookups import few_keys, grouped_tables, join_lookup
 
 TARGET = "clicked"
 ROW_ID = "impression_id"
@@ -22,6 +22,7 @@ N_FOLDS = 5
 SEED = 42
 HIGH_CARDINALITY = 100
 HASH_CARDINALITY = 1000
+N_HASHED = 10
 
 
 def fold_of(row_id: Column, n_folds: int = N_FOLDS, seed: int = SEED) -> Column:
@@ -69,7 +70,8 @@ class KeyState:
     """Fitted encodings of one key column.
 
     `table`: key value, frequency, normalised frequency, target mean, and the count and target
-    sum of every fold. `global_mean`: one row. `small`: the table was checked to fit a broadcast.
+    sum of every fold. `global_mean`: one row. `small`: the table was checked to fit a broadcast; a table that was
+    written needs no such check, Spark knows its size.
     """
 
     column: str
@@ -79,35 +81,47 @@ class KeyState:
     small: bool = False
 
 
-def fit_key(
+def fit_keys(
     df: DataFrame,
-    column: str,
+    columns: Sequence[str],
     target: str = TARGET,
     row_id: str = ROW_ID,
     n_folds: int = N_FOLDS,
     seed: int = SEED,
-    hashed: bool = False,
-    small: bool | None = None,
-) -> KeyState:
-    y, fold = F.col(target), F.col("_fold")
-    folded = df.filter(F.col(column).isNotNull()).select(
-        column, y.alias(target), fold_of(F.col(row_id), n_folds, seed).alias("_fold")
-    )
-    per_fold = []
+    hashed: Sequence[str] | None = (),
+) -> list[KeyState]:
+    """States of several key columns from one scan: one aggregate with a grouping per column and one of all rows.
+
+    Without a list of `hashed` columns those with over HASH_CARDINALITY values are, as counted in the states.
+    """
+    if not columns:
+        return []
+    y, fold = F.col("_y"), F.col("_fold")
+    folded = df.select(*dict.fromkeys(columns), F.col(target).alias("_y"), fold_of(F.col(row_id), n_folds, seed).alias("_fold"))
+    aggregates = {"_rows": F.count(F.lit(1)), "_mean": F.avg(y)}
     for i in range(n_folds):
-        per_fold += [
-            F.count(F.when(fold == i, y)).alias(f"_n{i}"),
-            F.coalesce(F.sum(F.when(fold == i, y)), F.lit(0)).alias(f"_s{i}"),
-        ]
-    counts = folded.groupBy(column).agg(
-        F.count(F.lit(1)).alias(f"{column}_freq"), F.avg(y).alias(f"{column}_mean"), *per_fold
-    )
-    top = counts.agg(F.max(f"{column}_freq")).scalar()
-    table = counts.withColumn(f"{column}_freq_norm", F.col(f"{column}_freq") / top)
-    mean = df.agg(F.avg(target).alias("_global_mean"))
-    if small is None:
-        small = few_keys(df, [[column]])[0]
-    return KeyState(column, table, mean, hashed, small)
+        aggregates[f"_n{i}"] = F.count(F.when(fold == i, y))
+        aggregates[f"_s{i}"] = F.coalesce(F.sum(F.when(fold == i, y)), F.lit(0))
+    tables, whole = grouped_tables(folded, {c: [c] for c in columns}, aggregates)
+    known = {c: t.filter(F.col(c).isNotNull()) for c, t in tables.items()}
+    if hashed is None:
+        hashed = [c for c, t in known.items() if t.count() > HASH_CARDINALITY]
+    # Over no rows there is still a row, with a null mean.
+    mean = whole.agg(F.max("_mean").alias("_global_mean"))
+    states = []
+    for c, counts in known.items():
+        top = counts.agg(F.max("_rows")).scalar()
+        table = counts.select(
+            c, F.col("_rows").alias(f"{c}_freq"), F.col("_mean").alias(f"{c}_mean"),
+            *[f"_{k}{i}" for i in range(n_folds) for k in "ns"], (F.col("_rows") / top).alias(f"{c}_freq_norm"),
+        )
+        states.append(KeyState(c, table, mean, c in hashed))
+    return states
+
+
+def fit_key(df: DataFrame, column: str, *args, hashed: bool = False, **options) -> KeyState:
+    """`fit_keys` for one column."""
+    return fit_keys(df, [column], *args, hashed=[column] if hashed else (), **options)[0]
 
 
 def encode_fitted(
@@ -132,12 +146,14 @@ def encode_fitted(
     else:
         encoded = F.col(f"{c}_mean")
     mean = state.global_mean.select("_global_mean").scalar()
+    if state.hashed:
+        joined = joined.withColumn("_bucket", _bucket_of(c))
     return joined.select(
         *df.columns,
         F.coalesce(f"{c}_freq", F.lit(0)).alias(f"{c}_freq"),
         F.coalesce(f"{c}_freq_norm", F.lit(0.0)).alias(f"{c}_freq_norm"),
         F.coalesce(encoded, mean).alias(f"{c}_target_enc"),
-        *(hash_columns(F.coalesce(F.col(c).cast("string"), F.lit("nan")), c) if state.hashed else []),
+        *(_indicators(c) if state.hashed else []),
     )
 
 
@@ -161,14 +177,17 @@ def target_encode_apply(df: DataFrame, state: KeyState) -> DataFrame:
     return encoded.select(*df.columns, f"{state.column}_target_enc")
 
 
-def hash_features(df: DataFrame, column: str, n_features: int = 10) -> DataFrame:
+def _bucket_of(column: str, n_features: int = N_HASHED) -> Column:
+    return md5_mod(F.coalesce(F.col(column).cast("string"), F.lit("nan")), n_features)
+
+
+def _indicators(column: str, n_features: int = N_HASHED) -> list[Column]:
+    return [F.when(F.col("_bucket") == i, 1).otherwise(0).alias(f"{column}_hash_{i}") for i in range(n_features)]
+
+
+def hash_features(df: DataFrame, column: str, n_features: int = N_HASHED) -> DataFrame:
     """Indicator columns of the key's hash bucket; the key is hashed once per row."""
-    text = F.coalesce(F.col(column).cast("string"), F.lit("nan"))
-    bucket = df.withColumn("_bucket", md5_mod(text, n_features))
-    return bucket.select(
-        *df.columns,
-        *[F.when(F.col("_bucket") == i, 1).otherwise(0).alias(f"{column}_hash_{i}") for i in range(n_features)],
-    )
+    return df.withColumn("_bucket", _bucket_of(column, n_features)).select(*df.columns, *_indicators(column, n_features))
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str], near: Sequence[int] = (HIGH_CARDINALITY, HASH_CARDINALITY), rsd: float = 0.05) -> dict[str, int]:
@@ -211,7 +230,8 @@ def encode_all(
 ) -> tuple[DataFrame, list[KeyState]]:
     """Encode every listed key column; detect the columns when none are listed.
 
-    Naming both lists keeps this free of jobs. Otherwise columns over 1000 values are hashed too.
+    The rows are read twice: once by the aggregate of all keys, which is written, and once to join it. Without a list
+    columns over 1000 values are hashed too.
     `source` is the narrow table `df` was made from: keys it has are fitted on it. The keys in
     `done` are encoded already and only get their state and hash indicators.
     """
@@ -222,16 +242,10 @@ def encode_all(
         if hashed is None:
             hashed = [c for c, n in found.items() if n > HASH_CARDINALITY]
     columns = [c for c in columns if c in df.columns]
-    if hashed is None:
-        raw = [c for c in columns if c in source.columns]
-        counts = distinct_counts(source, raw, [HASH_CARDINALITY])
-        counts |= distinct_counts(df, [c for c in columns if c not in raw], [HASH_CARDINALITY])
-        hashed = [c for c, n in counts.items() if n > HASH_CARDINALITY]
-    states = []
-    for c in columns:
-        rows = source if c in source.columns else df
-        small = False if c in done else None
-        states.append(fit_key(rows, c, target, row_id, n_folds, seed, c in hashed, small))
+    by_column = {}
+    for rows, own in ((source, [c for c in columns if c in source.columns]), (df, [c for c in columns if c not in source.columns])):
+        by_column |= {s.column: s for s in fit_keys(rows, own, target, row_id, n_folds, seed, hashed)}
+    states = [by_column[c] for c in columns]
     for state in states:
         if state.column not in done:
             df = encode_fitted(df, state, row_id, n_folds, seed)

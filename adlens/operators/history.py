@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from adlens.functions.temporal import SECONDS_NEVER, seconds_between
 from adlens.operators.encoders import N_FOLDS, SEED, fold_of, out_of_fold_mean, top_frequency
-from adlens.operators.lookups import few_keys, join_lookup
+from adlens.operators.lookups import few_keys, grouped_tables, join_lookup
 from adlens.operators.ordered import running
 
 TARGET = "clicked"
@@ -172,23 +172,16 @@ def group_means(
 ) -> DataFrame:
     """Mean target of a whole group on each of its rows, for several groupings.
 
-    Counts and sums are combined on the map side and joined back. Groupings that are coarser than
-    another one listed are rolled up from its small result instead of read from the rows again.
+    All groupings and the global mean come from one aggregate over a narrow table, which is written and joined back.
     `source` is the narrow table `df` was made from, if there is one.
     """
     base = df if source is None else source
-    y = F.col(target)
-    names = sorted(groups, key=lambda n: -len(groups[n]))
-    tables: dict[str, DataFrame] = {}
-    for name in names:
-        finer = next((n for n in tables if set(groups[name]) < set(groups[n])), None)
-        rows = tables[finer] if finer else base.select(*groups[name], y.alias("_s"), y.isNotNull().cast("int").alias("_c"))
-        tables[name] = rows.groupBy(*groups[name]).agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
+    keys = dict.fromkeys(k for own in groups.values() for k in own)
+    tables, whole = grouped_tables(base.select(*keys, F.col(target).alias("_y")), groups, {"_mean": F.avg("_y")})
     out = df
-    for (name, keys), small in zip(groups.items(), few_keys(base, list(groups.values()))):
-        means = tables[name].select(*keys, F.try_divide("_s", "_c").alias(name))
-        out = join_lookup(out, means, keys, small)
-    mean = global_mean(df if source is None else source, target).scalar() if fill_global else None
+    for name, own in groups.items():
+        out = join_lookup(out, tables[name].withColumnRenamed("_mean", name), own, False)
+    mean = whole.agg(F.max("_mean")).scalar() if fill_global else None
     return out.select(
         *df.columns, *[F.coalesce(F.col(n), mean).alias(n) if n in fill_global else F.col(n) for n in groups]
     )

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adlens.sources.materialise import materialise
+
 BROADCAST_KEYS = 100_000
 
 
@@ -28,3 +30,25 @@ def join_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], small: bo
     sides are shuffled by key, and Spark splits the rows of a heavy key over several tasks.
     """
     return df.join(F.broadcast(lookup) if small else lookup, list(keys), "left")
+
+
+def grouped_tables(df: DataFrame, groups: Mapping[str, Sequence[str]], aggregates: Mapping[str, Column]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The aggregates of every grouping by its name, and of all rows, from one scan and one shuffle.
+
+    The result is written once: Spark knows the size of each table when it joins it, broadcasts the small ones and
+    splits the rows of a heavy key over several tasks where it does not. A null key is a group like any other. The
+    table of all rows is empty if there are no rows.
+    """
+    columns = list(dict.fromkeys(k for keys in groups.values() for k in keys))
+    sets = list(dict.fromkeys(tuple(sorted(keys)) for keys in groups.values()))
+    marks = [F.grouping(c).alias(f"_without_{c}") for c in columns]
+    grouped = df.groupingSets([[F.col(c) for c in own] for own in [*sets, ()]], *columns)
+    written = materialise(grouped.agg(*[a.alias(n) for n, a in aggregates.items()], *marks), "groupings")
+
+    def part(keys: Sequence[str]) -> DataFrame:
+        own = F.lit(True)
+        for c in columns:
+            own = own & (F.col(f"_without_{c}") == (0 if c in keys else 1))
+        return written.filter(own).select(*keys, *aggregates)
+
+    return {name: part(keys) for name, keys in groups.items()}, part(())

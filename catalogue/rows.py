@@ -250,7 +250,7 @@ a AS (SELECT ad_id, count(*) AS n, sum(clicked) AS s FROM folded GROUP BY ALL),
 af AS (SELECT ad_id, fold, count(*) AS n, sum(clicked) AS s FROM folded GROUP BY ALL)
 SELECT impression_id, u.n AS user_id_freq, round(u.n / (SELECT max(n) FROM u), 6) AS user_id_freq_norm,
   round(coalesce((u.s - uf.s) / nullif(u.n - uf.n, 0), (SELECT avg(clicked) FROM folded)), 6) AS user_id_target_enc,
-  CASE WHEN {fx.sql_md5_mod('CAST(user_id AS VARCHAR)', 10)} = 3 THEN 1 ELSE 0 END AS user_id_hash_3,
+  {", ".join(f"CASE WHEN {fx.sql_md5_mod('CAST(user_id AS VARCHAR)', 10)} = {i} THEN 1 ELSE 0 END AS user_id_hash_{i}" for i in range(10))},
   a.n AS ad_id_freq, round(a.n / (SELECT max(n) FROM a), 6) AS ad_id_freq_norm,
   round(coalesce((a.s - af.s) / nullif(a.n - af.n, 0), (SELECT avg(clicked) FROM folded)), 6) AS ad_id_target_enc
 FROM folded JOIN u USING (user_id) JOIN uf USING (user_id, fold) JOIN a USING (ad_id) JOIN af USING (ad_id, fold)""",
@@ -260,7 +260,7 @@ def _(spark, sf):
     out, _states = encoders.encode_all(fx.line_labels(spark, sf), ["user_id", "ad_id"], ["user_id"])
     return rounded(
         out.select(
-            "impression_id", "user_id_freq", "user_id_freq_norm", "user_id_target_enc", "user_id_hash_3",
+            "impression_id", "user_id_freq", "user_id_freq_norm", "user_id_target_enc", *[f"user_id_hash_{i}" for i in range(10)],
             "ad_id_freq", "ad_id_freq_norm", "ad_id_target_enc",
         )
     )

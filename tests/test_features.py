@@ -288,3 +288,31 @@ def test_codes_and_keys(spark):
 def test_parts_of_the_day(spark, hour, part, business):
     h = F.lit(hour)
     assert tuple(spark.range(1).select(temporal.time_of_day(h), temporal.business_hours(h)).first()) == (part, business)
+
+
+def test_all_keys_are_fitted_by_one_scan(spark, tmp_path):
+    """One scan and one shuffle make the written table; what is joined to the rows is read from that."""
+    rows = [(i, f"u{i % 40}" if i % 9 else None, i % 7, "x" if i % 2 else "y", i % 3 % 2) for i in range(400)]
+    spark.createDataFrame(rows, "impression_id long, user_id string, ad_id int, device string, clicked int").write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    out, states = encoders.encode_all(df, ["user_id", "ad_id", "device"])
+    assert [s.hashed for s in states] == [False] * 3
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert len([line for line in plan.split("\n") if "FileScan" in line and "/rows]" in line]) == 1
+    got = {r["impression_id"]: r for r in out.collect()}
+    mean = sum(r[4] for r in rows) / len(rows)
+    fold = {r["impression_id"]: r["fold"] for r in encoders.kfold_assign(df).collect()}
+    for i, *keys, _ in rows:
+        for at, name in enumerate(("user_id", "ad_id", "device")):
+            same = [r for r in rows if r[1 + at] == keys[at] and keys[at] is not None]
+            others = [r[4] for r in same if fold[r[0]] != fold[i]]
+            assert got[i][f"{name}_freq"] == len(same)
+            assert got[i][f"{name}_target_enc"] == pytest.approx(sum(others) / len(others) if others else mean)
+
+
+def test_groupings_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "impression_id long, user_id string, clicked int")
+    out, states = encoders.encode_all(df, ["user_id"])
+    assert out.count() == 0 and states[0].global_mean.first()[0] is None
+    more = spark.createDataFrame([(1, "u", 1)], df.schema)
+    assert encoders.encode_fitted(more, states[0], out_of_fold=False).first()["user_id_target_enc"] is None
