@@ -1,8 +1,9 @@
-"""Exact samples and splits without sorting the table.
+"""Exact samples and splits without sorting, or even shuffling, the table.
 
-A row's place in its stratum is decided by the md5 of its id. Counting rows per leading hex digits
-of that hash tells, for all but a few hash cells, which label the whole cell gets. Only the cells
-a boundary falls into are ranked row by row.
+A row's place in its stratum is decided by the md5 of its id. Where a label ends is found by radix selection: rows are
+counted by the leading digits of their hash, the cell that holds the boundary is the only one whose rows are counted by
+further digits, and so on until it is small; then the ids in it are ranked. What is left of it is one (hash, id) per
+stratum and boundary, and each row is labelled where it is, by comparison.
 """
 
 from __future__ import annotations
@@ -17,7 +18,53 @@ from adlens.functions.hashing import hash_rank
 from adlens.sources.materialise import materialise
 
 ROW_ID = "impression_id"
-HEX_DIGITS = 4
+#: Hexadecimal digits by which a round refines, of those that a hash has, and the rows that are few enough to rank.
+DIGITS, HASH_DIGITS = 3, 32
+RANK_ROWS = 50_000
+
+
+def boundary_rows(
+    hashed: DataFrame, strata: Sequence[str], bounds: Callable[[Column], Sequence[Column]], digits: int, rank_rows: int
+) -> DataFrame:
+    """(strata, `_j`, `_at`): the row, as a struct of hash and id, whose rank in its stratum is the `_j`-th bound.
+
+    `hashed` has the strata, `_hash` and `_id`. A bound beyond the last row of a stratum has no row.
+    """
+    strata = list(strata)
+
+    def picked(cells: DataFrame, per: Sequence[str], bound: Column) -> DataFrame:
+        """The cells that hold a bound, with the bound counted from the cell's first row."""
+        before = W.partitionBy(*per).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
+        placed = cells.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        inside = (bound >= F.col("_start")) & (bound < F.col("_start") + F.col("_n"))
+        return placed.filter(inside).select(*strata, "_j", "_cell", (bound - F.col("_start")).alias("_offset"), "_n")
+
+    length = digits
+    cells = hashed.groupBy(*strata, F.substring("_hash", 1, length).alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
+    total = F.sum("_n").over(W.partitionBy(*strata))
+    ends = bounds(F.col("_total"))
+    ranks = F.array(*[F.struct(F.lit(j).alias("_j"), F.greatest(e, F.lit(0)).cast("long").alias("_b")) for j, e in enumerate(ends)])
+    listed = cells.withColumn("_total", total).select(*strata, "_cell", "_n", F.inline(ranks))
+    # Size bound: one row for each stratum and bound, from at most 16 ** digits cells of each.
+    active = materialise(picked(listed, [*strata, "_j"], F.col("_b")), "boundaries")
+    while length < HASH_DIGITS and (active.agg(F.max("_n")).first()[0] or 0) > rank_rows:
+        finer = min(length + digits, HASH_DIGITS)
+        inside = _in_cells(hashed, active, strata, length)
+        cells = inside.groupBy(*strata, "_j", "_offset", F.substring("_hash", 1, finer).alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
+        active = materialise(picked(cells, [*strata, "_j"], F.col("_offset")), "boundaries")
+        length = finer
+    place = F.row_number().over(W.partitionBy(*strata, "_j").orderBy("_hash", "_id")) - 1
+    ranked = _in_cells(hashed, active, strata, length).withColumn("_place", place)
+    return ranked.filter(F.col("_place") == F.col("_offset")).select(*strata, "_j", F.struct("_hash", "_id").alias("_at"))
+
+
+def _in_cells(hashed: DataFrame, active: DataFrame, strata: Sequence[str], length: int) -> DataFrame:
+    """Rows of `hashed` in the cells that hold a bound, once for each bound of the cell."""
+    own = active.select(*[F.col(s).alias(f"_of_{s}") for s in strata], "_j", "_offset", F.col("_cell").alias("_of_cell"))
+    match = F.substring("_hash", 1, length) == F.col("_of_cell")
+    for s in strata:
+        match &= F.col(s).eqNullSafe(F.col(f"_of_{s}"))
+    return hashed.join(own, match).select(*hashed.columns, "_j", "_offset")
 
 
 def label_by_rank(
@@ -28,50 +75,34 @@ def label_by_rank(
     bounds: Callable[[Column], Sequence[Column]],
     seed: int,
     name: str,
+    digits: int | None = None,
+    rank_rows: int | None = None,
 ) -> DataFrame:
     """Label rows by their hash rank in the stratum.
 
-    `bounds(total)` gives the ascending end rank of each label but the last.
+    `bounds(total)` gives the ascending end rank of each label but the last. Ids are unique; rows that repeat one get
+    the same label.
     """
-
-    def label_at(rank: Column, total: Column) -> Column:
-        out = F
-        for label, end in zip(labels, bounds(total)):
-            out = out.when(rank < end, label)
-        return out.otherwise(labels[-1])
-
-    hashed = df.withColumn("_hash", hash_rank(F.col(row_id), seed)).withColumn(
-        "_cell", F.substring("_hash", 1, HEX_DIGITS)
-    )
-    kept = [F.col(s).alias(f"_stratum{i}") for i, s in enumerate(strata)]
-    in_stratum = [f"_stratum{i}" for i in range(len(strata))]
-    # At most 16**HEX_DIGITS rows per stratum.
-    cells = hashed.groupBy(*kept, "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    ordered = W.partitionBy(*in_stratum).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("_n").over(ordered), F.lit(0))
-    total = F.sum("_n").over(W.partitionBy(*in_stratum))
-    cells = cells.select(*in_stratum, F.col("_cell").alias("_c"), "_n", start.alias("_start"), total.alias("_total"))
-    cells = cells.withColumns(
-        {
-            "_first": label_at(F.col("_start"), F.col("_total")),
-            "_final": label_at(F.col("_start") + F.col("_n") - 1, F.col("_total")),
-        }
-    )
-    # A label owns a run of whole cells, and at most one cell lies across each boundary: a stratum
-    # is described by fewer than twice as many intervals as there are labels.
-    intervals = cells.groupBy(*in_stratum, "_first", "_final").agg(
-        F.min("_c").alias("_from"), F.max("_c").alias("_to"), F.min("_start").alias("_start"), F.max("_total").alias("_total")
-    )
-    match = F.col("_cell").between(F.col("_from"), F.col("_to"))
-    for i, s in enumerate(strata):
-        match &= F.col(s).eqNullSafe(F.col(f"_stratum{i}"))
-    # Written, so that both uses share one count and Spark knows the size when it plans the joins.
-    tagged = hashed.join(materialise(intervals, "intervals"), match)
-    whole = tagged.filter(F.col("_first") == F.col("_final")).withColumn(name, F.col("_first"))
-    place = F.row_number().over(W.partitionBy(*in_stratum, "_cell").orderBy("_hash", row_id))
-    divided = tagged.filter(F.col("_first") != F.col("_final")).withColumn("_place", place)
-    divided = divided.withColumn(name, label_at(F.col("_start") + F.col("_place") - 1, F.col("_total")))
-    return whole.select(*df.columns, name).unionByName(divided.select(*df.columns, name))
+    hash_of = F.coalesce(hash_rank(F.col(row_id), seed), F.lit(""))
+    names = [f"_s{i}" for i in range(len(strata))]
+    hashed = df.select(*[F.col(s).alias(n) for s, n in zip(strata, names, strict=True)], hash_of.alias("_hash"), F.col(row_id).alias("_id"))
+    found = materialise(boundary_rows(hashed, names, bounds, digits or DIGITS, rank_rows or RANK_ROWS), "bounds")
+    # Size bound: one row per stratum.
+    ends = found.groupBy(*names).agg(F.map_from_entries(F.collect_list(F.struct("_j", "_at"))).alias("_ends"))
+    own = F.struct(hash_of.alias("_hash"), F.col(row_id).alias("_id"))
+    if strata:
+        match = F.lit(True)
+        for s, n in zip(strata, names, strict=True):
+            match &= F.col(s).eqNullSafe(F.col(n))
+        joined = df.withColumn("_own", own).join(ends, match, "left")
+    else:
+        # Size bound: one row.
+        joined = df.withColumn("_own", own).crossJoin(F.broadcast(ends.agg(F.first("_ends").alias("_ends"))))
+    label = F
+    for j, text in enumerate(labels[:-1]):
+        end = F.try_element_at("_ends", F.lit(j))
+        label = label.when(end.isNull() | (F.col("_own") < end), text)
+    return joined.select(*df.columns, label.otherwise(labels[-1]).alias(name))
 
 
 def stratified_split(
@@ -124,8 +155,13 @@ def stratified_sample_approx(df: DataFrame, fractions: Mapping, stratum: str = "
     return df.sampleBy(stratum, dict(fractions), seed)
 
 
-def random_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    return df.sample(fraction=fraction, seed=seed)
+def random_sample(df: DataFrame, fraction: float, seed: int = 42, row_id: str | None = None) -> DataFrame:
+    """Each row with the same chance. By the hash of `row_id`, where given, the same rows however they are stored;
+    otherwise by their place in the files."""
+    if row_id is None:
+        return df.sample(fraction=fraction, seed=seed)
+    share = F.conv(F.substring(hash_rank(F.col(row_id), seed), 1, 13), 16, 10).cast("double") / float(16**13)
+    return df.filter(share < fraction)
 
 
 def sample_n(df: DataFrame, n: int, row_id: str = ROW_ID, seed: int = 42) -> DataFrame:

@@ -115,9 +115,13 @@ def _(spark, sf):
     return sampling.stratified_sample(fx.impressions(spark, sf), 0.3).select("impression_id", "clicked")
 
 
-@case("random_sample")
+@case(
+    "random_sample",
+    "SELECT * FROM impressions WHERE ('0x' || substr(md5('42:' || impression_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < 0.1",
+    "impressions",
+)
 def _(spark, sf):
-    return sampling.random_sample(fx.impressions(spark, sf), 0.1)
+    return sampling.random_sample(fx.impressions(spark, sf), 0.1, row_id="impression_id")
 
 
 @case(

@@ -163,13 +163,31 @@ def test_null_strata_are_split_too(spark):
     assert {r["clicked"]: r["count"] for r in kept} == {1: 20, None: 30}
 
 
-def test_mixed_cells_are_ranked(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "HEX_DIGITS", 1)
-    df = spark.range(500).select(F.col("id").alias("impression_id"), (F.col("id") % 2).alias("clicked"))
-    few = sampling.split_train_val_test(df).groupBy("clicked", "split").count().collect()
-    assert sorted((r["clicked"], r["split"], r["count"]) for r in few) == sorted(
-        (c, s, n) for c in (0, 1) for s, n in (("train", 160), ("val", 40), ("test", 50))
-    )
+@pytest.mark.parametrize(("digits", "rank_rows"), [(1, 1), (1, 40), (2, 1), (3, 10**6)])
+def test_boundaries_are_found_digit_by_digit(spark, monkeypatch, digits, rank_rows):
+    monkeypatch.setattr(sampling, "DIGITS", digits)
+    monkeypatch.setattr(sampling, "RANK_ROWS", rank_rows)
+    ids = [*range(500), *range(10_000, 10_003)]
+    df = spark.createDataFrame([(i, i % 2 if i < 500 else None) for i in ids], "impression_id long, clicked long").repartition(3)
+    got = {r["impression_id"]: r["split"] for r in sampling.split_train_val_test(df).collect()}
+    for stratum in (0, 1, None):
+        own = [i for i in ids if (i % 2 if i < 500 else None) == stratum]
+        own.sort(key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())
+        ends = [int(np.floor(len(own) * e + 0.5)) for e in (0.64, 0.8)]
+        want = ["train"] * ends[0] + ["val"] * (ends[1] - ends[0]) + ["test"] * (len(own) - ends[1])
+        assert [got[i] for i in own] == want
+    assert sampling.sample_n(df, 0).count() == 0 and sampling.sample_n(df, 7).count() == 7
+    assert sampling.sample_n(df, 503).count() == sampling.sample_n(df, 504).count() == 503
+    assert sampling.sample_n(df.limit(0), 3).count() == 0
+
+
+def test_rows_are_labelled_where_they_are(spark):
+    df = spark.range(5000).select(F.col("id").alias("impression_id"), (F.col("id") % 2).alias("clicked"), F.lit("wide").alias("payload"))
+    plan = sampling.split_train_val_test(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Aggregate" in plan  # only the table of bounds is grouped
+    same = sampling.random_sample(df, 0.3, row_id="impression_id")
+    assert sorted(r[0] for r in same.collect()) == sorted(r[0] for r in sampling.random_sample(df.repartition(9), 0.3, row_id="impression_id").collect())
+    assert 1300 < same.count() < 1700
 
 
 # --- selection --------------------------------------------------------------------------------
