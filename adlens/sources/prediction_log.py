@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.schemas import PREDICTION_COLUMNS, TRAINING_COLUMNS
@@ -71,6 +73,36 @@ def write_by_day(df: DataFrame, path: str, cluster: tuple[str, ...] = (), mode:
     ordered.write.mode(mode).partitionBy("date").parquet(path)
 
 
+@dataclass(frozen=True)
+class LogReport:
+    """What a batch wrote: rows in all, of them rows without a rate, and rows whose outcome is known."""
+
+    logged: int
+    refused: int
+    with_actual: int
+
+
+def log_batch(rows: DataFrame, path: str, batch: str) -> LogReport:
+    """Write the log rows of a batch into their day folders and report what was written, in one pass.
+
+    A batch that is written again replaces itself (its folders, day by day) and no other. The report is counted by
+    the tasks that write, each of which counts once however often it is tried.
+    """
+    counted = Observation(f"log-{batch}")
+    dated = rows.withColumns({"date": F.to_date("timestamp"), "batch": F.lit(batch)})
+    spread = F.xxhash64("request_id")
+    ordered = dated.repartitionByRange("date", "model_name", spread).sortWithinPartitions("date", "model_name")
+    observed = ordered.observe(
+        counted,
+        F.count(F.lit(1)).alias("logged"),
+        F.count_if(F.col("predicted_ctr").isNull()).alias("refused"),
+        F.count("actual_ctr").alias("with_actual"),
+    )
+    writer = observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("date", "batch").parquet(path)
+    return LogReport(**{k: int(v or 0) for k, v in counted.get.items()})
+
+
 def append_predictions(rows: DataFrame, path: str) -> None:
     write_by_day(rows, path, cluster=("model_name", "device"))
 

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Iterator
+from functools import reduce
+from urllib.parse import unquote
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -39,6 +45,33 @@ def read_table_auto(spark: SparkSession, path: str, schema: StructType | None =
     return spark.read.parquet(path) if any(parquet) else _read_csv(spark, path, schema)
 
 
+def file_headers(spark: SparkSession, path: str | list[str]) -> dict[str, str]:
+    """The first line of every file by its path.
+
+    Every file is a task of its own, which stops after the first rows it gets.
+    """
+    conf, name = spark.conf, "spark.sql.files.openCostInBytes"
+    before = conf.get(name, None)
+    conf.set(name, str(1 << 62))  # so that no task gets a second file
+
+    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                if batch.column("start")[0].as_py() == 0:
+                    yield batch.slice(0, 1)
+                return
+
+    try:
+        lines = spark.read.text(path).select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line")
+        )
+        # Size bound: one row per file, as the listing of files that the driver has anyway.
+        rows = lines.mapInArrow(first_line, "file string, start long, line string").collect()
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+    return {unquote(r["file"]): r["line"].removeprefix("\ufeff") for r in rows}
+
+
 def read_raw_log(
     spark: SparkSession,
     path: str,
@@ -50,15 +83,20 @@ def read_raw_log(
 ) -> DataFrame:
     """Gzip CSV log with a fixed schema.
 
-    One gzip file is read by one task; `partitions` spreads its rows before further work. The
-    sample is a seeded random one, not the first rows of the file. Files whose header differs
-    from that of the first one end the read with an error; read them one by one.
+    One gzip file is read by one task; `partitions` spreads its rows before further work. The sample is a seeded
+    random one, not the first rows of the file. Files may have their columns in different orders, or have other
+    columns: each group of files with one header is read by it, and the groups are put together by name, with nulls
+    where a file has no such column. Files without a line have no rows.
     """
-    header = spark.read.text(path).limit(1).first()
-    names = header[0].split(",") if header else schema.names
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, line in sorted(file_headers(spark, path).items()):
+        groups.setdefault(tuple(next(csv.reader([line]))), []).append(file)
     known = {f.name: f for f in schema.fields}
-    present = StructType([known[n] if n in known else StructType().add(n, "string").fields[0] for n in names])
-    df = spark.read.option("header", True).option("enforceSchema", False).schema(present).csv(path)
+    parts = []
+    for names, files in groups.items() or [(tuple(schema.names), [path])]:
+        present = StructType([known[n] if n in known else StructType().add(n, "string").fields[0] for n in names])
+        parts.append(spark.read.option("header", True).option("enforceSchema", False).schema(present).csv(files))
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if n_rows:
         df = df.limit(n_rows)
     elif sample_frac:

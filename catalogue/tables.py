@@ -36,6 +36,22 @@ def _(spark, sf):
     return tables.read_raw_log(spark, path, schema=RAW_LOG)
 
 
+@case(
+    "read_raw_log_headers",
+    """SELECT CAST(id AS VARCHAR) AS id, click, hour, CASE WHEN id % 3 <> 2 THEN C1 END AS C1, CASE WHEN id % 3 = 2 THEN device_id END AS device_id,
+  CASE WHEN id % 3 = 2 THEN 'x' || id END AS campaign FROM raw_log""",
+    "raw_log",
+)
+def _(spark, sf):
+    """Files of three headers in one folder: another order, and other columns."""
+    path = scratch(spark, "raw")
+    log = fx.raw_log(spark, sf)
+    for part, columns in enumerate((["id", "click", "hour", "C1"], ["C1", "hour", "id", "click"], ["device_id", "campaign", "click", "id", "hour"])):
+        rows = log.filter(F.col("id") % 3 == part).withColumn("campaign", F.concat(F.lit("x"), F.col("id").cast("string")))
+        rows.select(*columns).write.mode("append").option("header", True).option("compression", "gzip").csv(path)
+    return tables.read_raw_log(spark, path, schema=RAW_LOG).select("id", "click", "hour", "C1", "device_id", "campaign")
+
+
 @case("read_parquet_lazy", "SELECT device, count(*) AS clicks FROM impressions WHERE clicked = 1 GROUP BY device", "impressions")
 def _(spark, sf):
     return fx.impressions(spark, sf).filter("clicked = 1").groupBy("device").agg(F.count(F.lit(1)).alias("clicks"))
@@ -89,18 +105,28 @@ def _(spark, sf):
 
 @case(
     "predictions_sink_batch",
-    "SELECT count(*) AS logged, count(actual_ctr) AS with_actual, count(DISTINCT request_id) AS requests FROM predictions",
+    """SELECT count(*) AS logged, count(*) FILTER (request_id % 50 = 0) AS refused, count(actual_ctr) AS with_actual, count(*) AS read_back,
+  count(DISTINCT request_id) AS requests, count(*) FILTER (request_id % 50 = 0) AS without_rate FROM predictions""",
     "predictions",
 )
 def _(spark, sf):
     made = fx.predictions(spark, sf)
-    scores = made.select("request_id", "model_name", "predicted_ctr")
+    rate = F.when(F.col("request_id") % 50 != 0, F.col("predicted_ctr")).alias("predicted_ctr")
+    scores = made.select("request_id", "model_name", rate)
     asked = made.select("request_id", "user_id", "timestamp")
-    batch = prediction_log.combine_batch(asked, scores, profile.with_feedback(made))
-    rows = prediction_log.prediction_rows(batch, fx.NOW)
-    return rows.groupBy("request_id").agg(F.count(F.lit(1)).alias("n"), F.count("actual_ctr").alias("a")).agg(
-        F.sum("n").alias("logged"), F.sum("a").alias("with_actual"), F.count(F.lit(1)).alias("requests")
-    )
+    path, reports = scratch(spark, "batches"), []
+    # Two batches, the second written twice, as after a failure.
+    for name, part in (("even", 0), ("odd", 1), ("odd", 1)):
+        mine = asked.filter(F.col("request_id") % 2 == part)
+        batch = prediction_log.combine_batch(mine, scores, profile.with_feedback(made))
+        reports.append(prediction_log.log_batch(prediction_log.prediction_rows(batch, fx.NOW), path, name))
+    total = {k: sum(getattr(r, k) for r in reports[:2]) for k in ("logged", "refused", "with_actual")}
+    written = prediction_log.read_log(spark, path)
+    counts = written.groupBy("request_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("predicted_ctr").isNull()).alias("w"))
+    return counts.agg(
+        *[F.lit(v).cast("long").alias(k) for k, v in total.items()],
+        F.sum("n").alias("read_back"), F.count(F.lit(1)).alias("requests"), F.sum("w").alias("without_rate"),
+    )
 
 
 @case(

@@ -299,21 +299,49 @@ def test_command_line(spark, impressions, tmp_path, capsys):
     assert "logistic" in capsys.readouterr().out
 
 
-def test_mixed_folder_is_refused_and_other_headers_too(spark, tmp_path):
+def test_mixed_folder_is_refused(spark, tmp_path):
     import pytest
 
-    from adlens.sources.tables import read_raw_log, read_table_auto
+    from adlens.sources.tables import read_table_auto
 
     spark.range(3).write.parquet(str(tmp_path / "mixed"))
     for n in range(25):
         (tmp_path / "mixed" / f"a{n:02d}.csv").write_text("id\n1\n")
     with pytest.raises(ValueError):
         read_table_auto(spark, str(tmp_path / "mixed"))
-    (tmp_path / "logs").mkdir()
-    (tmp_path / "logs" / "a.csv").write_text("click,hour\n1,14102101\n")
-    (tmp_path / "logs" / "b.csv").write_text("hour,click\n14102102,0\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        read_raw_log(spark, str(tmp_path / "logs")).collect()
+
+
+def test_files_with_other_headers_are_read_by_their_own(spark, tmp_path):
+    import gzip
+
+    folder = tmp_path / "logs of the day"
+    folder.mkdir()
+    (folder / "a.csv").write_text("click,hour\n1,14102101\n0,14102102\n")
+    (folder / "b.csv").write_text('\ufeffhour,"click",more\n14102103,1,"x,y"\n')
+    (folder / "c.csv").write_text("")
+    (folder / "d.csv").write_text("hour,click\n")
+    with gzip.open(folder / "e.csv.gz", "wt") as f:
+        f.write("click,hour\n" + "".join(f"{i % 2},1410220{i % 10}\n" for i in range(30_000)))
+    df = tables.read_raw_log(spark, str(folder))
+    assert sorted(df.columns) == ["click", "hour", "more"]
+    assert dict(df.dtypes)["click"] == "int"
+    rows = df.collect()
+    assert len(rows) == 30_003 and sum(r["click"] for r in rows) == 15_002
+    assert [(r["hour"], r["more"]) for r in rows if r["more"]] == [("14102103", "x,y")]
+    found = tables.file_headers(spark, str(folder))
+    assert sorted(f.rsplit("/", 1)[-1] for f in found) == ["a.csv", "b.csv", "d.csv", "e.csv.gz"]
+
+
+def test_a_batch_written_again_replaces_itself(spark, predictions, tmp_path):
+    path = str(tmp_path / "log")
+    rows = prediction_log.prediction_rows(predictions.withColumn("predicted_ctr", F.when(F.col("request_id") % 10 != 0, F.col("predicted_ctr"))))
+    one, two = rows.filter("CAST(request_id AS INT) % 2 = 0"), rows.filter("CAST(request_id AS INT) % 2 = 1")
+    first = prediction_log.log_batch(one, path, "one")
+    assert (first.logged, first.refused, first.with_actual) == (one.count(), one.filter("predicted_ctr IS NULL").count(), one.filter("actual_ctr IS NOT NULL").count())
+    prediction_log.log_batch(two, path, "two")
+    assert prediction_log.log_batch(one, path, "one") == first
+    assert prediction_log.read_log(spark, path).count() == rows.count()
+    assert prediction_log.log_batch(one.limit(0), path, "none").logged == 0
 
 
 def test_unscored_request_is_logged_without_a_rate(spark):
