@@ -7,6 +7,7 @@ from statistics import NormalDist
 from pyspark.sql import functions as F
 
 import fixtures as fx
+from adlens.functions import stats
 from adlens.operators import abtest
 from catalogue import Catalogue, rounded
 from catalogue.tables import AB_METRICS
@@ -230,6 +231,52 @@ def _(spark, sf):
     return rounded(abtest.ab_normality(_samples(spark, sf)), 4)
 
 
+# Acklam's rational approximation to normal quantiles (relative error below 1.2e-9), highest power first.
+_CENTRE = (
+    (-3.969683028665376e1, 2.209460984245205e2, -2.759285104469687e2, 1.383577518672690e2, -3.066479806614716e1, 2.506628277459239),
+    (-5.447609879822406e1, 1.615858368580409e2, -1.556989798598866e2, 6.680131188771972e1, -1.328068155288572e1, 1.0),
+)
+_TAIL = (
+    (-7.784894002430293e-3, -3.223964580411365e-1, -2.400758277161838, -2.549732539343734, 4.374664141464968, 2.938163982698783),
+    (7.784695709041462e-3, 3.224671290700398e-1, 2.445134137142996, 3.754408661907416, 1.0),
+)
+
+
+def _horner(coefficients, x):
+    out = f"({coefficients[0]!r}::DOUBLE)"
+    for c in coefficients[1:]:
+        out = f"({out} * {x} + ({c!r}::DOUBLE))"
+    return out
+
+
+def _quantile(p):
+    tail = "sqrt(-2 * ln({p}))"
+    one = lambda q: f"{_horner(_TAIL[0], q)} / {_horner(_TAIL[1], q)}"
+    return f"""CASE WHEN {p} < 0.02425 THEN {one(tail.format(p=p))} WHEN {p} > 0.97575 THEN -({one(tail.format(p=f"(1 - {p})"))})
+      ELSE ({p} - 0.5) * {_horner(_CENTRE[0], f"(({p} - 0.5) * ({p} - 0.5))")} / {_horner(_CENTRE[1], f"(({p} - 0.5) * ({p} - 0.5))")} END"""
+
+
+def _power(coefficients, x):
+    return " + ".join(f"({c!r}::DOUBLE) * power({x}, {k})" for k, c in enumerate(coefficients))
+
+
+@case(
+    "ab_shapiro",
+    f"""{_SAMPLES}, o AS (SELECT test_id, variant, v, row_number() OVER (PARTITION BY test_id, variant ORDER BY v) AS i, count(*) OVER (PARTITION BY test_id, variant) AS n FROM s),
+m AS (SELECT *, {_quantile("((i - 0.375) / (n + 0.25))")} AS m FROM o),
+t AS (SELECT test_id, variant, any_value(n) AS n, sum(m * m) AS total, max(m) AS last, max(CASE WHEN i = n - 1 THEN m END) AS next, var_pop(v) * any_value(n) AS squares FROM m GROUP BY ALL),
+a AS (SELECT *, last / sqrt(total) + {_power(stats.LAST_WEIGHT, "(1 / sqrt(n))")} AS an, next / sqrt(total) + {_power(stats.NEXT_WEIGHT, "(1 / sqrt(n))")} AS bn FROM t WHERE n > 11),
+f AS (SELECT *, sqrt((total - 2 * last * last - 2 * next * next) / (1 - 2 * an * an - 2 * bn * bn)) AS f FROM a),
+w AS (SELECT test_id, variant, any_value(n) AS n, power(sum(v * CASE WHEN i = n THEN an WHEN i = 1 THEN -an WHEN i = n - 1 THEN bn WHEN i = 2 THEN -bn ELSE m / f END), 2) / any_value(squares) AS w
+  FROM m JOIN (SELECT * EXCLUDE n FROM f) USING (test_id, variant) GROUP BY ALL)
+SELECT test_id, variant, n, round(w, 5) AS w FROM w""",
+    "ab_tests ab_log",
+)
+def _(spark, sf):
+    out = abtest.ab_shapiro(_samples(spark, sf))
+    return out.filter("n > 11").select("test_id", "variant", "n", F.round("w", 5).alias("w"))
+
+
 @case(
     "ab_levene",
     f"""{_SAMPLES}, z AS (SELECT test_id, variant, abs(v - median(v) OVER (PARTITION BY test_id, variant)) AS z FROM s),
