@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import fixtures as fx
 from adlens.operators import evaluate, leafwise, models, selection
 from adlens.operators.normalize import cyclical_time
+from adlens.operators.ordered import running
 from adlens.plans import feature_table, scoring, training
 from adlens.sources.materialise import materialise
 from catalogue import Catalogue, rounded, scratch
@@ -66,7 +67,7 @@ def _(spark, sf):
 def _(spark, sf):
     df = cyclical_time(fx.impressions(spark, sf))
     columns = ["hour", "day_of_week", "ad_id", "hour_sin", "hour_cos"]
-    ranked = selection.importance_ranking(df, columns, trees=10, max_depth=5)
+    ranked = selection.importance_ranking(df, columns)
     return spark.createDataFrame(ranked[:3], "feature string, importance double")
 
 
@@ -185,7 +186,7 @@ def _(spark, sf):
     )
 
 
-# --- models: small settings keep the check short; the rows are the whole table ------------------
+# --- models: full settings; a model that several queries need is fitted once per session and table ------------
 
 _TRAINING = ["hour", "day_of_week", "is_weekend", "ad_id", "hour_sin", "hour_cos"]
 
@@ -194,21 +195,37 @@ def _training_table(spark, sf):
     return cyclical_time(fx.impressions(spark, sf)).select("impression_id", "clicked", *_TRAINING)
 
 
-def _scored_by(spark, sf, name, model, df):
-    scored = models.score_batch(df, {name: model}, _TRAINING, name)
-    return scored.select("impression_id", "clicked", "predicted_ctr", "model_name", "score_error")
+_FITTED: dict = {}
 
 
-@case("train_logistic")
-def _(spark, sf):
-    df = _training_table(spark, sf)
-    return _scored_by(spark, sf, "logistic", models.train_logistic(df, _TRAINING), df)
+def _fitted(spark, sf, name):
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _FITTED:
+        df = _training_table(spark, sf)
+        if name == "lightgbm":
+            _FITTED[key] = models.train_gbt_leaf(_held_out(df), _TRAINING, validation="held", row_id="impression_id")
+        else:
+            _FITTED[key] = models.TRAINERS[name](df, _TRAINING)
+    return _FITTED[key]
 
 
-@case("train_gbt")
-def _(spark, sf):
+_WEIGHTED = """weighted AS (SELECT *, CASE WHEN clicked = 1 THEN (SELECT count(*) FILTER (clicked = 0) / count(*) FILTER (clicked = 1) FROM impressions) ELSE 1 END AS w FROM impressions)"""
+
+
+def _loss_and_rate(spark, sf, name):
+    """Rows a model scored, and its balanced log loss and mean rate over them."""
     df = _training_table(spark, sf)
-    return _scored_by(spark, sf, "xgboost", models.train_gbt(df, _TRAINING, rounds=5), df)
+    scored = models.score_batch(df, {name: _fitted(spark, sf, name)}, _TRAINING, name)
+    ratio = df.agg((F.count_if(F.col("clicked") == 0) / F.count_if(F.col("clicked") == 1)).alias("ratio"))
+    weight = F.when(F.col("clicked") == 1, F.col("ratio")).otherwise(1.0)
+    hit = F.when(F.col("clicked") == 1, F.col("predicted_ctr")).otherwise(1 - F.col("predicted_ctr"))
+    # Size bound: one row.
+    return scored.crossJoin(F.broadcast(ratio)).groupBy("model_name").agg(
+        F.count("predicted_ctr").alias("rows"),
+        F.sum("clicked").alias("clicks"),
+        (F.sum(weight * F.col("predicted_ctr")) / F.sum(weight)).alias("rate"),
+        (F.sum(-weight * F.log(hit)) / F.sum(weight)).alias("loss"),
+    )
 
 
 def _held_out(df):
@@ -216,11 +233,64 @@ def _held_out(df):
     return df.withColumn("held", F.pmod(F.xxhash64("impression_id"), F.lit(5)) == 0)
 
 
-@case("train_gbt_leaf")
+# An unpenalised intercept makes the weighted rates add up to the weighted clicks: half of all weight.
+@case(
+    "train_logistic",
+    f"""WITH {_WEIGHTED} SELECT 'logistic' AS model_name, count(*) AS rows, sum(clicked)::BIGINT AS clicks,
+  round(sum(w * clicked) / sum(w), 3) AS rate, true AS beats_chance FROM weighted""",
+    "impressions",
+)
+def _(spark, sf):
+    out = _loss_and_rate(spark, sf, "logistic")
+    return out.select("model_name", "rows", "clicks", F.round("rate", 3).alias("rate"), (F.col("loss") < F.log(F.lit(2.0))).alias("beats_chance"))
+
+
+_SCALED_GRADIENT = " UNION ALL ".join(f"SELECT '{f}' AS feature, 0.0::DOUBLE AS gradient" for f in _TRAINING)
+
+
+@case("logistic_gradient", _SCALED_GRADIENT)
 def _(spark, sf):
+    """The gradient of the penalised loss is zero at the fit, by each standardised feature."""
     df = _training_table(spark, sf)
-    model = models.train_gbt_leaf(_held_out(df), _TRAINING, validation="held", row_id="impression_id")
-    return _scored_by(spark, sf, "lightgbm", model, df)
+    fitted = _fitted(spark, sf, "logistic")
+    scaler, model = fitted.stages
+    ratio = df.agg(F.count_if(F.col("clicked") == 0) / F.count_if(F.col("clicked") == 1)).first()[0]
+    scored = models.score_batch(df, {"logistic": fitted}, _TRAINING, "logistic")
+    weight = F.when(F.col("clicked") == 1, ratio).otherwise(1.0)
+    residual = weight * (F.col("predicted_ctr") - F.col("clicked"))
+    sums = []
+    for i, f in enumerate(_TRAINING):
+        value = (models.known_value(f) - float(scaler.mean[i])) / float(scaler.std[i] or 1.0)
+        slope = F.sum(residual * value) / F.sum(weight) + 1e-6 * float(model.coefficients[i])
+        sums.append(F.struct(F.lit(f).alias("feature"), (F.round(slope, 3) + 0.0).alias("gradient")).alias(f))
+    return scored.agg(*sums).select(F.inline(F.array(*_TRAINING)))
+
+
+def _boosted(spark, sf, name, trees):
+    """Full settings: what was scored, how many trees there are, and that they beat the even rate they start from."""
+    return _loss_and_rate(spark, sf, name).select(
+        "model_name", "rows", "clicks", F.lit(trees).alias("trees"), (F.col("loss") < F.log(F.lit(2.0))).alias("beats_chance")
+    )
+
+
+_SCORED = "count(*) AS rows, sum(clicked)::BIGINT AS clicks"
+
+
+@case("train_gbt", f"SELECT 'xgboost' AS model_name, {_SCORED}, CAST(100 AS INT) AS trees, true AS beats_chance FROM impressions", "impressions")
+def _(spark, sf):
+    return _boosted(spark, sf, "xgboost", _fitted(spark, sf, "xgboost").getNumTrees)
+
+
+@case("train_gbt_leaf", f"SELECT 'lightgbm' AS model_name, {_SCORED}, true AS within_settings, true AS best_round, true AS beats_chance FROM impressions", "impressions")
+def _(spark, sf):
+    """Trees of at most 31 leaves and depth 6, of unequal depth, kept up to the best held-out round."""
+    model = _fitted(spark, sf, "lightgbm")
+    depths = [[n.depth for n in t if n.left < 0] for t in model.trees]
+    within = 1 <= len(depths) <= 100 and all(len(d) <= 31 and max(d) <= 6 for d in depths)
+    best = len(model.trees) == model.losses.index(min(model.losses)) + 1
+    return _boosted(spark, sf, "lightgbm", len(depths)).drop("trees").select(
+        "model_name", "rows", "clicks", F.lit(within).alias("within_settings"), F.lit(best).alias("best_round"), "beats_chance"
+    )
 
 
 # The first two splits of a tree grown by gain, over features whose every value is a bin: all cuts of the root, then
@@ -269,24 +339,49 @@ def _(spark, sf):
     return result.comparison()
 
 
-@case("score_batch")
+def _with_holes(spark, sf):
+    return _training_table(spark, sf).withColumn("hour_sin", F.when(F.col("hour") != 3, F.col("hour_sin")))
+
+
+_REASON = "CASE WHEN hour = 3 THEN 'unusable feature value' END AS score_error"
+
+
+@case(
+    "score_batch",
+    f"SELECT impression_id, 'logistic' AS model_name, {_REASON}, hour <> 3 AS scored FROM impressions",
+    "impressions",
+)
 def _(spark, sf):
-    df = _training_table(spark, sf)
-    model = models.train_logistic(df, _TRAINING)
-    holes = df.withColumn("hour_sin", F.when(F.col("hour") != 3, F.col("hour_sin")))
-    return _scored_by(spark, sf, "logistic", model, holes)
+    scored = models.score_batch(_with_holes(spark, sf), {"logistic": _fitted(spark, sf, "logistic")}, _TRAINING, "logistic")
+    usable = F.coalesce((F.col("predicted_ctr") > 0) & (F.col("predicted_ctr") < 1), F.lit(False))
+    return scored.select("impression_id", "model_name", "score_error", usable.alias("scored"))
 
 
-@case("score_fallback")
+@case(
+    "score_fallback",
+    "SELECT CASE WHEN hour = 3 THEN 'unusable feature value' END AS score_error, count(*) AS rows, CASE WHEN hour = 3 THEN 0.02::DOUBLE END AS default_rate FROM impressions GROUP BY 1, 3",
+    "impressions",
+)
 def _(spark, sf):
-    df = _training_table(spark, sf)
-    model = models.train_logistic(df, _TRAINING)
-    holes = df.withColumn("hour_sin", F.when(F.col("hour") != 3, F.col("hour_sin")))
-    scored = models.score_batch(holes, {"logistic": model}, _TRAINING, "logistic", models.DEFAULT_CTR)
-    return scored.groupBy("score_error").agg(F.count(F.lit(1)).alias("rows"), F.min("predicted_ctr").alias("lowest"))
+    fitted = {"logistic": _fitted(spark, sf, "logistic")}
+    scored = models.score_batch(_with_holes(spark, sf), fitted, _TRAINING, "logistic", models.DEFAULT_CTR)
+    given = F.when(F.col("score_error").isNotNull(), F.col("predicted_ctr"))
+    return scored.groupBy("score_error").agg(F.count("predicted_ctr").alias("rows"), F.max(given).alias("default_rate"))
 
 
-@case("score_requests")
+_BUCKET = fx.sql_md5_mod("r.test_id || ':' || r.user_id", 10000)
+
+
+@case(
+    "score_requests",
+    f"""WITH a AS (SELECT r.request_id, r.test_id, t.model_a, t.model_b, t.enabled AND NOT coalesce(TIMESTAMP '{fx.NOW}' > t.end_time, false) AND
+    {_BUCKET} / 10000.0::DOUBLE < t.traffic_split AS b FROM ab_requests r LEFT JOIN ab_tests t USING (test_id)),
+m AS (SELECT *, CASE WHEN b THEN model_b ELSE model_a END AS m FROM a)
+SELECT request_id, test_id, CASE WHEN m IN ('logistic', 'xgboost') THEN CASE WHEN b THEN 'B' ELSE 'A' END END AS variant,
+  CASE WHEN m IN ('logistic', 'xgboost') THEN m END AS model_name, CASE WHEN m IS NULL OR m = 'lightgbm' THEN 'no such test or model' END AS reject_reason,
+  coalesce(m, 'lightgbm') <> 'lightgbm' AS scored FROM m""",
+    "ab_tests ab_requests",
+)
 def _(spark, sf):
     df = fx.impressions(spark, sf)
     features = ["hour", "day_of_week", "ctr_user_id_user", "ctr_ad_id_ad", "user_id_target_enc"]
@@ -297,8 +392,13 @@ def _(spark, sf):
         df.select(F.col("impression_id").alias("request_id"), "user_id", "ad_id", "device", "placement"), "request_id"
     )
     incoming = asked.withColumns({c: F.lit(None).cast("int") for c in ("hour", "day_of_week")})
-    scored, _refused = scoring.score_requests(incoming, state, fitted, features, fx.NOW, fx.ab_tests(spark, sf))
-    return scored.select("request_id", "test_id", "variant", "model_name", "predicted_ctr")
+    scored, refused = scoring.score_requests(incoming, state, fitted, features, fx.NOW, fx.ab_tests(spark, sf))
+    nothing = F.lit(None).cast("string")
+    return scored.select(
+        "request_id", "test_id", "variant", "model_name", nothing.alias("reject_reason"), F.col("predicted_ctr").isNotNull().alias("scored")
+    ).unionByName(
+        refused.select("request_id", "test_id", nothing.alias("variant"), nothing.alias("model_name"), "reject_reason", F.lit(False).alias("scored"))
+    )
 
 
 _RANKED = """WITH t AS (SELECT model_name, score, sum(label) AS p, count(*) - sum(label) AS q FROM scored GROUP BY ALL),
@@ -395,30 +495,55 @@ def _(spark, sf):
     return evaluate.example_rows(fx.scored(spark, sf))
 
 
-@case("feature_importance")
+@case("feature_importance", f"SELECT CAST({len(_TRAINING)} AS BIGINT) AS features, 1.0::DOUBLE AS total, true AS in_order")
 def _(spark, sf):
-    df = _training_table(spark, sf)
-    return models.feature_importance(models.train_gbt(df, _TRAINING, rounds=3), _TRAINING, df)
+    """Shares of the gain: of every feature, one in all, the strongest first."""
+    ranked = models.feature_importance(_fitted(spark, sf, "xgboost"), _TRAINING, _training_table(spark, sf))
+    rows = ranked.collect()
+    shares = [r["importance"] for r in rows]
+    return ranked.agg(
+        F.count_distinct("feature").alias("features"), F.round(F.sum("importance"), 6).alias("total")
+    ).withColumn("in_order", F.lit(shares == sorted(shares, reverse=True)))
+
+
+# Both curves keep the number of clicks: what they give adds up to the labels, and never falls as the score rises.
+_CALIBRATED = "SELECT count(*) AS rows, round(sum(label)::DOUBLE, 1) AS calibrated, CAST(0 AS BIGINT) AS falls FROM scored"
+
+
+def _calibration(out):
+    points = out.groupBy("score").agg(F.max("calibrated").alias("high"), F.min("calibrated").alias("low"), F.sum("calibrated").alias("sum"), F.count(F.lit(1)).alias("n"))
+    ordered = running(points.withColumn("curve", F.lit("all")), ["curve"], ["score"], lasts={"before": F.col("high")})
+    return ordered.agg(
+        F.sum("n").alias("rows"), F.round(F.sum("sum"), 1).alias("calibrated"),
+        F.count_if((F.col("low") < F.col("before") - 1e-12) | (F.col("high") > F.col("low") + 1e-12)).alias("falls"),
+    )
 
 
-@case("calibrate_platt")
+@case("calibrate_platt", "SELECT count(*) AS rows, round(sum(label)::DOUBLE, 1) AS calibrated, true AS monotone FROM scored", "scored")
 def _(spark, sf):
     scored = fx.scored(spark, sf)
-    return models.apply_platt(models.fit_platt(scored), scored)
+    out = _calibration(models.apply_platt(models.fit_platt(scored), scored))
+    # A curve of one slope either never falls or never rises.
+    points = scored.select("score").distinct().count()
+    return out.select("rows", "calibrated", F.col("falls").isin(0, points - 1).alias("monotone"))
 
 
-@case("calibrate_isotonic")
+@case("calibrate_isotonic", _CALIBRATED, "scored")
 def _(spark, sf):
     scored = fx.scored(spark, sf)
-    return models.apply_isotonic(models.fit_isotonic(scored), scored)
+    return _calibration(models.apply_isotonic(models.fit_isotonic(scored), scored))
 
 
-@case("compare_models")
+@case(
+    "compare_models",
+    "SELECT impression_id, model_name, true AS scored FROM impressions, (VALUES ('logistic'), ('lightgbm')) m(model_name)",
+    "impressions",
+)
 def _(spark, sf):
     df = _training_table(spark, sf)
-    fitted = {"logistic": models.train_logistic(df, _TRAINING), "lightgbm": models.train_gbt_leaf(df, _TRAINING, rounds=3, row_id="impression_id")}
+    fitted = {name: _fitted(spark, sf, name) for name in ("logistic", "lightgbm")}
     scores = models.compare_models(df, fitted, _TRAINING)
-    return scores.select("impression_id", "model_name", "predicted_ctr")
+    return scores.select("impression_id", "model_name", F.col("predicted_ctr").between(0, 1).alias("scored"))
 
 
 @case("one_hot", "SELECT impression_id, " + ", ".join(
@@ -432,8 +557,7 @@ def _(spark, sf):
     return encoded.select("impression_id", *[values[i].alias(f"device_{d}") for i, d in enumerate(("desktop", "mobile", "tablet"))])
 
 
-@case("grid_search")
+@case("grid_search", "SELECT unnest([0.0::DOUBLE, 0.01::DOUBLE, 0.1::DOUBLE]) AS reg_param, true AS is_auc")
 def _(spark, sf):
-    df = _training_table(spark, sf)
-    _model, scores = models.grid_search_logistic(df, _TRAINING, reg_params=(0.0, 0.1), folds=2, max_iter=10)
-    return spark.createDataFrame([(float(v), float(s)) for v, s in scores], "reg_param double, roc_auc double")
+    _model, scores = models.grid_search_logistic(_training_table(spark, sf), _TRAINING)
+    return spark.createDataFrame([(float(v), bool(0.4 < s <= 1)) for v, s in scores], "reg_param double, is_auc boolean")
