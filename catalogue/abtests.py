@@ -160,30 +160,53 @@ def _(spark, sf):
     return rounded(abtest.ab_ttest(_moments(spark, sf)).select("test_id", "t_stat", "df"))
 
 
-@case("ab_ttest_p")
+def _tail(value, density, steps=2000):
+    """Two-sided tail of a symmetric density, by Simpson's rule from 0 to the value (beyond 40 nothing is left)."""
+    x = f"(least(abs({value}), 40) * k / {steps})"
+    weight = f"CASE WHEN k IN (0, {steps}) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END"
+    return f"round(abs(1 - 2 * (SELECT sum({weight} * {density.format(x=x)}) * least(abs({value}), 40) / {steps} / 3 FROM range({steps + 1}) r(k))), 5)"
+
+
+_NORMAL_DENSITY = "exp(-{x} * {x} / 2) / sqrt(2 * pi())"
+_T_DENSITY = "exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(df * pi()) * power(1 + {x} * {x} / df, -(df + 1) / 2)"
+
+
+@case(
+    "ab_ttest_p",
+    f"""{_SAMPLES}, t AS (SELECT test_id, (ma - mb) / sqrt(pv * (1 / na + 1 / nb)) AS t, CAST(na + nb - 2 AS DOUBLE) AS df FROM pooled WHERE na > 0 AND nb > 0)
+SELECT test_id, round(t, 6) AS t_stat, df, {_tail("t", _T_DENSITY)} AS p_value FROM t""",
+    "ab_tests ab_log",
+)
 def _(spark, sf):
-    return abtest.ab_ttest(_moments(spark, sf))
+    out = abtest.ab_ttest(_moments(spark, sf))
+    return rounded(out.withColumn("p_value", F.round("p_value", 5)))
 
 
 @case(
     "ab_chi2",
-    f"""{_PAIRED} SELECT test_id, round((na + nb) * power(greatest(abs(bada * (nb - badb) - badb * (na - bada)) - (na + nb) / 2, 0), 2)
-  / ((bada + badb) * (na + nb - bada - badb) * CAST(na AS DOUBLE) * nb), 6) AS chi2 FROM p""",
+    f"""{_PAIRED}, x AS (SELECT test_id, (na + nb) * power(greatest(abs(bada * (nb - badb) - badb * (na - bada)) - (na + nb) / 2, 0), 2)
+  / ((bada + badb) * (na + nb - bada - badb) * CAST(na AS DOUBLE) * nb) AS chi2 FROM p)
+SELECT test_id, round(chi2, 6) AS chi2, {_tail("sqrt(chi2)", _NORMAL_DENSITY)} AS p_value FROM x""",
     "ab_tests ab_log",
 )
 def _(spark, sf):
-    return rounded(abtest.ab_chi2(_paired(spark, sf)).select("test_id", "chi2"))
+    return rounded(abtest.ab_chi2(_paired(spark, sf)).withColumn("p_value", F.round("p_value", 5)))
 
 
 @case(
     "ab_mannwhitney",
     f"""{_SAMPLES}, t AS (SELECT test_id, v, count(*) FILTER (variant = 'A') AS a, count(*) FILTER (variant = 'B') AS b FROM s GROUP BY ALL),
-c AS (SELECT *, coalesce(sum(b) OVER (PARTITION BY test_id ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM t)
-SELECT test_id, CAST(sum(a * (below + b / 2)) AS DOUBLE) AS u_stat FROM c GROUP BY test_id HAVING sum(a) > 0 AND sum(b) > 0""",
+c AS (SELECT *, coalesce(sum(b) OVER (PARTITION BY test_id ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM t),
+u AS (SELECT test_id, CAST(sum(a * (below + b / 2)) AS DOUBLE) AS u, CAST(sum(a) AS DOUBLE) AS na, CAST(sum(b) AS DOUBLE) AS nb,
+  CAST(sum(power(a + b, 3) - (a + b)) AS DOUBLE) AS ties FROM c GROUP BY test_id HAVING sum(a) > 0 AND sum(b) > 0),
+z AS (SELECT test_id, u, greatest(greatest(u, na * nb - u) - na * nb / 2 - 0.5, 0)
+  / sqrt(na * nb / 12 * (na + nb + 1 - ties / ((na + nb) * (na + nb - 1)))) AS z FROM u)
+SELECT test_id, u AS u_stat, round(z, 6) AS z, {_tail("z", _NORMAL_DENSITY)} AS p_value FROM z""",
     "ab_tests ab_log",
 )
 def _(spark, sf):
-    return abtest.ab_mannwhitney(_samples(spark, sf)).select("test_id", "u_stat")
+    out = abtest.ab_mannwhitney(_samples(spark, sf))
+    return out.select("test_id", "u_stat", F.round("z", 6).alias("z"), F.round("p_value", 5).alias("p_value"))
 
 
 @case(

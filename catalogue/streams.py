@@ -142,20 +142,32 @@ def _(spark, sf):
     return rounded(jobs.stream_window_drift(windows, _baseline(spark, sf), minimum=20), 5)
 
 
+_TWO_DAYS = "time_bucket(INTERVAL 2 DAY, timestamp, TIMESTAMP '1970-01-01')"
+
+
+def _cents(value):
+    """A figure to two decimals, as text."""
+    return f"CAST(CAST(floor(floor({value} * 100 + 0.5) / 100) AS BIGINT) AS VARCHAR) || '.' || lpad(CAST(CAST(floor({value} * 100 + 0.5) AS BIGINT) % 100 AS VARCHAR), 2, '0')"
+
+
 @case(
     "stream_alerts",
-    f"""SELECT window_start, model_name, 'high' AS severity, CAST(1 AS BIGINT) AS alerts
-FROM (SELECT *, date_trunc('hour', timestamp) AS window_start FROM predictions) WHERE window_start + INTERVAL 1 HOUR <= {_MARK}
-GROUP BY window_start, model_name HAVING count(*) FILTER (error) * 100 / count(*) > 5""",
-    "predictions",
+    f"""WITH w AS (SELECT *, latency_ms * 3 AS slow_ms, {_TWO_DAYS} AS window_start FROM predictions),
+st AS (SELECT window_start, model_name, count(*) FILTER (error) * 100 / count(*) AS error_rate, avg(slow_ms) FILTER (NOT error) AS latency
+  FROM w WHERE window_start + INTERVAL 2 DAY <= {_MARK} GROUP BY ALL),
+f AS ({_findings_sql(f"SELECT window_start, model_name, {_FIGURES.replace('latency_ms', 'slow_ms')} FROM w WHERE NOT error AND window_start + INTERVAL 2 DAY <= {_MARK} GROUP BY window_start, model_name HAVING count(*) >= 100", "window_start, model_name")})
+SELECT window_start, model_name, 'high' AS severity, 'High error rate: ' || {_cents("error_rate")} || '%' AS message FROM st WHERE error_rate > 5
+UNION ALL SELECT window_start, model_name, 'medium', 'High latency: ' || {_cents("latency")} || 'ms' FROM st WHERE latency > 1000
+UNION ALL SELECT DISTINCT window_start, model_name, 'medium', 'Model drift detected' FROM f""",
+    "predictions baseline_rows",
 )
 def _(spark, sf):
+    """Latencies are tripled, so that windows are slow, and the baseline is narrow, so that they drift."""
     path = scratch(spark, "alerts")
-    baseline = monitor.baseline_fit(fx.baseline_rows(spark, sf))
-    stats = jobs.stream_model_stats(log_stream(spark, sf))
-    jobs.start_alerts(stats, baseline, f"{path}/alerts", f"{path}/checkpoint", once=True).awaitTermination()
-    found = spark.read.parquet(f"{path}/alerts").filter("severity = 'high'")
-    return found.groupBy("window_start", "model_name", "severity").agg(F.count(F.lit(1)).alias("alerts"))
+    log = log_stream(spark, sf).withColumn("latency_ms", F.col("latency_ms") * 3)
+    stats = jobs.stream_model_stats(log, window="2 days")
+    jobs.start_alerts(stats, _baseline(spark, sf), f"{path}/alerts", f"{path}/checkpoint", once=True).awaitTermination()
+    return spark.read.parquet(f"{path}/alerts").select("window_start", "model_name", "severity", "message")
 
 
 @case(

@@ -164,13 +164,24 @@ def _(spark, sf):
     )
 
 
+_STORED_TIME = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def _store(spark, entries, name):
+    """JSON files, each a map of the entries (`test_id`, `c`) that fall to it."""
+    path = scratch(spark, name)
+    documents = entries.groupBy(F.pmod(F.xxhash64("test_id"), F.lit(6)).alias("part")).agg(
+        F.to_json(F.map_from_entries(F.collect_list(F.struct("test_id", "c"))), _STORED_TIME).alias("value")
+    )
+    documents.write.partitionBy("part").text(path)
+    return path
+
+
 @case("load_ab_tests", "SELECT * FROM ab_tests", "ab_tests")
 def _(spark, sf):
     tests = fx.ab_tests(spark, sf)
-    documents = tests.select(
-        F.to_json(F.create_map("test_id", F.struct(*tests.columns)), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value")
-    )
-    return ab_store.parse_tests(documents)
+    path = _store(spark, tests.select("test_id", F.struct(*tests.columns).alias("c")), "tests")
+    return ab_store.load_ab_tests(spark, path)
 
 
 AB_METRICS = """SELECT test_id, model_name, count(*) AS total_requests, count(*) FILTER (NOT error) AS total_predictions,
@@ -188,15 +199,12 @@ def _(spark, sf):
     # Infinity has no JSON form: it is stored as null.
     low = F.col("min_prediction_time_ms")
     stored = metrics.withColumn("min_prediction_time_ms", F.when(low < float("inf"), low))
-    documents = (
+    models = (
         stored.select("test_id", "model_name", F.struct(*stored.columns).alias("c"))
         .groupBy("test_id")
-        .agg(F.map_from_entries(F.collect_list(F.struct("model_name", "c"))).alias("m"))
-        .select(
-            F.to_json(F.create_map("test_id", "m"), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value")
-        )
+        .agg(F.map_from_entries(F.collect_list(F.struct("model_name", "c"))).alias("c"))
     )
-    return rounded(ab_store.parse_metrics(documents))
+    return rounded(ab_store.load_ab_metrics(spark, _store(spark, models, "metrics")))
 
 
 @case("save_ab_tables", AB_METRICS, "ab_log")
