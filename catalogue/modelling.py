@@ -133,6 +133,61 @@ def _(spark, sf):
     return rounded(out.select("impression_id", *_FEATURES))
 
 
+def _share_of_top(key):
+    return f"count(*) OVER (PARTITION BY {key}) / (SELECT max(n) FROM (SELECT count(*) AS n FROM impressions GROUP BY {key}))"
+
+
+#: Every numeric feature, in the order of the table.
+_BUILT = {
+    "user_id": "user_id", "ad_id": "ad_id", "hour": "hour", "day_of_week": "day_of_week", "is_weekend": "is_weekend",
+    "ctr_user_id_user": f"coalesce({_prior('avg(clicked)', 'user_id')}, {_MEAN})",
+    "impressions_user_id_user": _prior("count(*)", "user_id"),
+    "user_activity_level": "count(*) OVER (PARTITION BY user_id)",
+    "time_since_last_impression": f"coalesce((epoch_us(timestamp) - {_prior('max(epoch_us(timestamp))', 'user_id')}) / 1e6, 0)",
+    "time_since_click_safe": f"coalesce((epoch_us(timestamp) - {_prior('max(CASE WHEN clicked = 1 THEN epoch_us(timestamp) END)', 'user_id')}) / 1e6, 31536000)",
+    "user_id_freq": "count(*) OVER (PARTITION BY user_id)",
+    "user_id_freq_norm": _share_of_top("user_id"),
+    "user_id_target_enc": _encoded("user_id").rsplit(" AS ", 1)[0],
+    "ctr_ad_id_ad": f"coalesce({_prior('avg(clicked)', 'ad_id')}, {_MEAN})",
+    "impressions_ad_id_ad": _prior("count(*)", "ad_id"),
+    "ad_impression_count": "count(*) OVER (PARTITION BY ad_id)",
+    "ad_id_freq": "count(*) OVER (PARTITION BY ad_id)",
+    "ad_id_freq_norm": _share_of_top("ad_id"),
+    "ad_id_target_enc": _encoded("ad_id").rsplit(" AS ", 1)[0],
+    "ctr_device_device": f"coalesce({_prior('avg(clicked)', 'device')}, {_MEAN})",
+    "impressions_device_device": _prior("count(*)", "device"),
+    "month": "month(timestamp)", "day": "day(timestamp)", "week_of_year": "week(timestamp)",
+    "is_business_hours": "CASE WHEN hour BETWEEN 9 AND 17 THEN 1 ELSE 0 END",
+    **{f"user_id_hash_{i}": f"CASE WHEN {fx.sql_md5_mod('CAST(user_id AS VARCHAR)', 10)} = {i} THEN 1 ELSE 0 END" for i in range(10)},
+}
+_ORDER = list(_BUILT)
+_VARIANCES = ", ".join(f"{{'i': {i}, 'feature': '{c}', 'v': var_pop({c})::DOUBLE, 'mean': avg({c})::DOUBLE}}" for i, c in enumerate(_ORDER))
+_RELATED = ", ".join(
+    f"{{'i': {i}, 'j': {j}, 'r': abs(corr({_ORDER[i]}, {_ORDER[j]}))::DOUBLE}}" for j in range(len(_ORDER)) for i in range(j)
+)
+
+
+@case(
+    "feature_table_selected",
+    f"""WITH f AS MATERIALIZED (SELECT clicked, {", ".join(f"{e} AS {c}" for c, e in _BUILT.items())} FROM (SELECT *, {_FOLD} AS fold FROM impressions)),
+v AS (SELECT unnest(x, recursive := true) FROM (SELECT unnest([{_VARIANCES}]) AS x FROM f)),
+r AS (SELECT unnest(x, recursive := true) FROM (SELECT unnest([{_RELATED}]) AS x FROM f)),
+varying AS (SELECT i FROM v WHERE v > 0.01),
+related AS (SELECT DISTINCT j FROM r WHERE i IN (SELECT i FROM varying) AND j IN (SELECT i FROM varying) AND r > 0.95),
+o AS (SELECT feature, mean, CASE WHEN i NOT IN (SELECT i FROM varying) THEN 'low variance' WHEN i IN (SELECT j FROM related) THEN 'correlated' ELSE 'kept' END AS outcome FROM v)
+SELECT feature, outcome, CASE WHEN outcome = 'kept' THEN round(mean, 4) END AS mean FROM o""",
+    "impressions",
+)
+def _(spark, sf):
+    """The whole build - history, encodings, hashing and selection - as what became of each feature."""
+    options = feature_table.FeatureOptions(hashed_columns=("user_id",))
+    out, state = feature_table.fit_transform(fx.impressions(spark, sf), options)
+    kept = [c for c in out.columns if c in _BUILT]
+    means = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit("kept").alias("outcome"), F.round(F.avg(c), 4).alias("mean")) for c in kept])
+    dropped = spark.createDataFrame([(c, why, None) for c, why in state.dropped.items()], "feature string, outcome string, mean double")
+    return out.agg(means.alias("rows")).select(F.inline("rows")).unionByName(dropped)
+
+
 @case(
     "feature_table_compat",
     f"""SELECT impression_id, round(avg(clicked) OVER (PARTITION BY user_id), 6) AS user_ctr_overall,
