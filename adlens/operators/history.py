@@ -1,6 +1,6 @@
 """Features of what a key did before each row, and of what its group does overall.
 
-`compat` features repeat the reference behaviour even where they use the row's own label; the
+`compat` features are rates and gaps of whole tables, even where they use the row's own label; the
 default training set is built from the leak-free ones.
 """
 
@@ -54,7 +54,7 @@ def user_timeline(
 ) -> DataFrame:
     """Seconds since the user's previous impression and previous click.
 
-    `time_since_last_click` is the reference feature: gap to the previous click on clicked rows,
+    `time_since_last_click` is the usual feature: gap to the previous click on clicked rows,
     one year on all others, so it gives the label away. `time_since_click_safe` looks only at
     strictly earlier clicks, for every row alike.
     """
@@ -151,7 +151,7 @@ def click_gap_merge(
 ) -> DataFrame:
     """Click gaps joined back on (user, timestamp).
 
-    Several clicks of one user at one time repeat every row of that time, as the reference does.
+    Several clicks of one user at one time repeat every row of that time.
     """
     ts = F.col(TS)
     clicks = df.filter(F.col(target) == 1).select(user, TS, row_id)
@@ -187,7 +187,7 @@ def group_means(
     )
 
 
-# Names of the reference's whole-group rates.
+# Names of the whole-group rates.
 GROUP_RATES = {
     "user_ctr_overall": ["user_id"],
     "ad_ctr_overall": ["ad_id"],

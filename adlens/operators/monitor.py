@@ -18,7 +18,7 @@ from adlens.sources.materialise import materialise
 MODEL = "model_name"
 ORDER = ("timestamp", "request_id")
 
-# Window sizes and limits of the reference.
+# Window sizes and limits.
 LATENCY_WINDOW = 10_000
 RATE_WINDOW = 1_000
 DRIFT_WINDOW = 1_000
@@ -169,7 +169,7 @@ def health(
 ) -> DataFrame:
     """Status per model with its alerts. `drifted` holds the models with drift.
 
-    With `compat` drift turns a degraded model into a warning, as the reference does; otherwise
+    With `compat` drift turns a degraded model into a warning; otherwise
     the worse status stays.
     """
     marks = drifted.select(*keys).distinct().withColumn("_drift", F.lit(True))

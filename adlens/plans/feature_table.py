@@ -1,7 +1,7 @@
 """Feature table: fit on a labelled log, store the state as tables, apply it to new rows.
 
-The default set uses nothing but earlier rows and out-of-fold means. With `compat` it is the
-reference's set, whole-table rates and label-dependent click gap included.
+The default set uses nothing but earlier rows and out-of-fold means. With `compat` it has
+whole-table rates and the label-dependent click gap as well.
 """
 
 from __future__ import annotations
