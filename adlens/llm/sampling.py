@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adlens.sources.materialise import materialise
+
 CELLS = 1 << 30
 
 
@@ -39,7 +41,12 @@ def labelled_sample(labels: DataFrame, id_col: str, label_col: str, train: Colum
 
 
 def fit_in_one_task(features: DataFrame, order: list[str], fit: Callable[[pd.DataFrame], object]) -> object:
-    """Run `fit` on a bounded table in one task and return what it makes."""
+    """Run `fit` on a bounded table in one task and return what it makes.
+
+    The table is written first: reading all documents to find and measure the sample is the work of all tasks, and
+    only the sample itself goes through one.
+    """
+    sample = materialise(features, "sample")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = list(frames)
@@ -47,5 +54,5 @@ def fit_in_one_task(features: DataFrame, order: list[str], fit: Callable[[pd.Dat
             frame = pd.concat(own, ignore_index=True).sort_values(order, kind="stable")
             yield pd.DataFrame({"model": [pickle.dumps(fit(frame.reset_index(drop=True)))]})
 
-    rows = features.coalesce(1).mapInPandas(run, "model binary").collect()
+    rows = sample.coalesce(1).mapInPandas(run, "model binary").collect()
     return pickle.loads(bytes(rows[0]["model"])) if rows else None
