@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adlens.functions.temporal import seconds_between
@@ -30,9 +31,9 @@ ERROR_PCT_LIMIT = 5.0
 LATENCY_LIMIT_MS = 1000.0
 
 
-def last_n_stats(log: DataFrame, n: int = LATENCY_WINDOW) -> DataFrame:
+def last_n_stats(log: DataFrame, n: int = LATENCY_WINDOW, prune: bool = True) -> DataFrame:
     """Latency figures over each model's last `n` successful requests."""
-    recent = last_n(log.filter(~F.col("error")), [MODEL], ORDER, n)
+    recent = last_n(log.filter(~F.col("error")), [MODEL], ORDER, n, prune=prune)
     v = F.col("latency_ms")
     # Size bound: a group holds at most n rows, so its exact percentiles fit a task.
     return recent.groupBy(MODEL).agg(
@@ -49,9 +50,9 @@ def _per_minute(rows: Column, seconds: Column) -> Column:
     return F.when((rows > 1) & (seconds > 0), rows / (seconds / 60)).otherwise(0.0)
 
 
-def request_rate(log: DataFrame, n: int = RATE_WINDOW) -> DataFrame:
+def request_rate(log: DataFrame, n: int = RATE_WINDOW, prune: bool = True) -> DataFrame:
     """Requests per minute over each model's last `n` requests."""
-    recent = last_n(log.select(MODEL, *ORDER), [MODEL], ORDER, n)
+    recent = last_n(log.select(MODEL, *ORDER), [MODEL], ORDER, n, prune=prune)
     spanned = recent.groupBy(MODEL).agg(
         F.count(F.lit(1)).alias("_n"),
         seconds_between(F.min("timestamp"), F.max("timestamp")).alias("_seconds"),
@@ -59,16 +60,37 @@ def request_rate(log: DataFrame, n: int = RATE_WINDOW) -> DataFrame:
     return spanned.select(MODEL, _per_minute(F.col("_n"), F.col("_seconds")).alias("requests_per_minute"))
 
 
-def model_stats(log: DataFrame) -> DataFrame:
-    """Counters, error percentage, latency figures and rate per model."""
-    totals = log.groupBy(MODEL).agg(
-        F.count(F.lit(1)).alias("total_requests"),
-        F.count_if(~F.col("error")).alias("successful_requests"),
-        F.count_if("error").alias("error_count"),
-        (F.count_if("error") * 100 / F.count(F.lit(1))).alias("error_rate"),
-        F.max("timestamp").alias("last_updated"),
+def model_stats(log: DataFrame, latency_window: int = LATENCY_WINDOW, rate_window: int = RATE_WINDOW) -> DataFrame:
+    """Counters, error percentage, latency figures and rate per model.
+
+    The log is read twice: once for counts by model and hour, which give the counters and the hours that the windows
+    reach back to, and once for the rows of those hours.
+    """
+    hour = F.timestamp_diff("HOUR", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("timestamp"))
+    marked = log.select(MODEL, *ORDER, "latency_ms", "error", F.coalesce(hour, F.lit(-(10**9))).alias("_hour"))
+    cells = materialise(
+        marked.groupBy(MODEL, "_hour").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("error")).alias("good"),
+            F.count_if("error").alias("bad"), F.max("timestamp").alias("last"),
+        ),
+        "hours",
+    )
+    totals = cells.groupBy(MODEL).agg(
+        F.sum("rows").alias("total_requests"),
+        F.sum("good").alias("successful_requests"),
+        F.sum("bad").alias("error_count"),
+        (F.sum("bad") * 100 / F.sum("rows")).alias("error_rate"),
+        F.max("last").alias("last_updated"),
+    )
+    later = W.partitionBy(MODEL).orderBy(F.desc("_hour")).rowsBetween(W.unboundedPreceding, -1)
+    reached = [F.coalesce(F.sum(c).over(later), F.lit(0)) < n for c, n in (("rows", rate_window), ("good", latency_window))]
+    needed = cells.withColumn("_reached", reached[0] | reached[1]).filter("_reached")
+    since = materialise(needed.groupBy(F.col(MODEL).alias("_model")).agg(F.min("_hour").alias("_since")), "since")
+    mine = F.col(MODEL).eqNullSafe(F.col("_model")) & (F.col("_hour") >= F.col("_since"))
+    recent = materialise(marked.join(since, mine).select(MODEL, *ORDER, "latency_ms", "error"), "recent")
+    return totals.join(last_n_stats(recent, latency_window, prune=False), MODEL, "left").join(
+        request_rate(recent, rate_window, prune=False), MODEL, "left"
     )
-    return totals.join(last_n_stats(log), MODEL, "left").join(request_rate(log), MODEL, "left")
 
 
 def baseline_fit(log: DataFrame) -> DataFrame:
