@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`; a temporary one only where none is set."""
+    """The folder named by `spark.checkpoint.dir`; where none is set, a temporary one, but on a single machine only."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         context = spark.sparkContext
         folder = context.getCheckpointDir()
         if not folder:
+            if not (context.master == "local" or context.master.startswith("local[")):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="adlens-"))
             folder = context.getCheckpointDir()
     return folder.rstrip("/")
