@@ -1,9 +1,11 @@
 """URL filter: rules by host and path, and a ratio of character language models for the rest.
 
-Two variable-order Markov models are learnt from the URLs that rules accept and reject. A context of up to
-`ORDER` characters is kept if it was seen `LEAST_COUNT` times, at most `MOST_CONTEXTS` of the most frequent
-ones (that bounds what is broadcast to some 12 MB). Probabilities are smoothed by interpolation with the
-next shorter context (Witten-Bell). A URL's score is the difference of its two log-likelihoods over its
+Two variable-order Markov models are learnt from the URLs that rules accept and reject. Every context of up to
+`ORDER` characters that was seen `LEAST_COUNT` times is kept. Probabilities are smoothed by interpolation with the
+next shorter context (Witten-Bell). What a character adds to a score depends on it and the `ORDER` characters before
+it alone, so the models are looked up once for each such gram and the values joined to the characters of the URLs;
+they are broadcast only if there are few. Contexts of up to two characters, which the alphabet bounds to 5,000, are
+always broadcast. A URL's score is the difference of its two log-likelihoods over its
 length; the limit is the one that separates a held-out fifth of the ruled URLs best. Counts are of all
 ruled URLs of the other four fifths. Only DataFrame functions are used; a URL that occurs often is
 scored once.
@@ -24,7 +26,8 @@ from adlens.sources.materialise import materialise
 
 ORDER = 4
 LEAST_COUNT = 20
-MOST_CONTEXTS = 20_000
+#: Grams whose values may be broadcast: some 16 MB.
+FEW_GRAMS = 400_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 OTHER, END, START = "\x01", "\x02", "\x03"
 #: Printable ASCII without upper case, any other character, and the end of the URL.
@@ -90,18 +93,13 @@ def _counts(texts: DataFrame) -> DataFrame:
         .agg(F.sum("accepted").alias("a"), F.sum("rejected").alias("r")),
         "url-grams",
     )
-    kept = (
+    listed = (
         grams.groupBy("context")
-        .agg(F.sum(F.col("a") + F.col("r")).alias("n"))
+        .agg(
+            F.sum(F.col("a") + F.col("r")).alias("n"),
+            F.collect_list(F.struct("symbol", "a", "r")).alias("_seen"),  # one entry for each symbol at most
+        )
         .filter((F.col("n") >= LEAST_COUNT) | (F.col("context") == ""))
-        .orderBy(F.desc("n"), F.length("context"), "context")
-        .limit(MOST_CONTEXTS)
-        .select("context")
-    )
-    listed = (
-        grams.join(F.broadcast(kept), "context")
-        .groupBy("context")
-        .agg(F.collect_list(F.struct("symbol", "a", "r")).alias("_seen"))  # one entry for each symbol at most
     )
 
     def dense(field: str) -> Column:
@@ -146,15 +144,20 @@ def fit_ratio(texts: DataFrame) -> DataFrame:
     )
 
 
-def score_ratio(texts: DataFrame, model: DataFrame) -> DataFrame:
+def score_ratio(texts: DataFrame, model: DataFrame, few_grams: int = FEW_GRAMS) -> DataFrame:
     """`text`, `score` for every different text."""
     rows = _positions(texts.select("text").distinct())
+    grams = rows.select("before", "symbol").distinct()
     for k in range(ORDER + 1):
         own = model.filter(F.length("context") == k).select(F.col("context").alias(f"_c{k}"), F.col("ratio").alias(f"_r{k}"))
-        # at most MOST_CONTEXTS rows in all the broadcasts together
-        rows = rows.join(F.broadcast(own), F.substring(F.col("before"), ORDER + 1 - k, k) == F.col(f"_c{k}"), "left").drop(f"_c{k}")
+        # The alphabet bounds contexts of up to two characters; longer ones are joined as their size allows.
+        own = F.broadcast(own) if k <= 2 else own
+        grams = grams.join(own, F.substring(F.col("before"), ORDER + 1 - k, k) == F.col(f"_c{k}"), "left").drop(f"_c{k}")
     ratio = F.coalesce(*[F.col(f"_r{k}") for k in reversed(range(ORDER + 1))])
-    return rows.groupBy("text").agg(F.avg(F.element_at(ratio, F.col("symbol"))).alias("score"))
+    values = materialise(grams.select("before", "symbol", F.element_at(ratio, F.col("symbol")).alias("value")), "url-grams")
+    # Written, so its size is known: broadcast if checked to be small, else Spark splits the rows of a frequent gram.
+    values = F.broadcast(values) if values.count() <= few_grams else values
+    return rows.join(values, ["before", "symbol"]).groupBy("text").agg(F.avg("value").alias("score"))
 
 
 def calibrated_limit(scored: DataFrame) -> float:
