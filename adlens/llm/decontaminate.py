@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlens.llm.bitmap import text_digest
+from adlens.llm.memory import give_back
 from adlens.sources.materialise import materialise
 
 WINDOW = 10
@@ -185,6 +186,7 @@ def _first_pass(rows: DataFrame, shared: Broadcast) -> DataFrame:
             at = np.flatnonzero(total)
             none, nothing = pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.string())
             yield _written(none, nothing, none, nothing, pa.array(np.full(len(at), w)), pa.array(at), pa.array(total[at]))
+        give_back()
 
     return rows.mapInArrow(run, WRITTEN)
 

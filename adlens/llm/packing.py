@@ -26,11 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from adlens.llm.memory import give_back
+
 LENGTH = 4096
 END_ID = 2
 #: About so many bytes of texts in a group, and of remembered words in a worker; forgetting these only costs time.
 GROUP_BYTES = 4 << 20
-KNOWN_BYTES = 112 << 20
+KNOWN_BYTES = 96 << 20
 #: What a remembered word takes beside its bytes and ids: two objects and a place in a dictionary.
 WORD_COST = 180
 #: Words that go to the tokenizer as one text.
@@ -240,6 +242,8 @@ def pack(
         }
         if with_ids:
             columns["ids"] = pa.array([x.astype(np.int64) for x in cut], pa.list_(pa.int64()))
+        del table, names, texts, ids, cut
+        give_back()
         return pa.table(columns)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from adlens.llm.bitmap import text_digest
 from adlens.llm.components import components
+from adlens.llm.memory import give_back
 from adlens.sources.materialise import materialise
 
 RADIUS = 3
@@ -64,6 +65,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             prints = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], dtype=np.uint64)
             columns = [batch.column(0), batch.column(2), pa.array(prints.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, ["id", "digest", "fp"])
+        give_back()
 
     text = F.col(f"`{text_col}`")
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"), text_digest(text).alias("digest"))
