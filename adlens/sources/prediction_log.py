@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.schemas import PREDICTION_COLUMNS, TRAINING_COLUMNS
@@ -83,24 +83,24 @@ class LogReport:
 
 
 def log_batch(rows: DataFrame, path: str, batch: str) -> LogReport:
-    """Write the log rows of a batch into their day folders and report what was written, in one pass.
+    """Write the log rows of a batch into their day folders and report what was written.
 
-    A batch that is written again replaces itself (its folders, day by day) and no other. The report is counted by
-    the tasks that write, each of which counts once however often it is tried.
+    A batch that is written again replaces itself (its folders, day by day) and no other. The rows are computed once:
+    the report reads two columns of the files just written, so it counts what is there however often a task was tried.
+    (An observed metric would save that read, but a session that has one can no longer run models fitted in it.)
     """
-    counted = Observation(f"log-{batch}")
     dated = rows.withColumns({"date": F.to_date("timestamp"), "batch": F.lit(batch)})
     spread = F.xxhash64("request_id")
     ordered = dated.repartitionByRange("date", "model_name", spread).sortWithinPartitions("date", "model_name")
-    observed = ordered.observe(
-        counted,
+    writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("date", "batch").parquet(path)
+    written = rows.sparkSession.read.schema(ordered.schema).parquet(path).filter(F.col("batch") == batch)
+    counts = written.agg(
         F.count(F.lit(1)).alias("logged"),
         F.count_if(F.col("predicted_ctr").isNull()).alias("refused"),
         F.count("actual_ctr").alias("with_actual"),
     )
-    writer = observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("date", "batch").parquet(path)
-    return LogReport(**{k: int(v or 0) for k, v in counted.get.items()})
+    return LogReport(**counts.first().asDict())
 
 
 def append_predictions(rows: DataFrame, path: str) -> None:
