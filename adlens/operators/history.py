@@ -6,7 +6,7 @@ default training set is built from the leak-free ones.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from adlens.functions.temporal import SECONDS_NEVER, seconds_between
 from adlens.operators.encoders import N_FOLDS, SEED, fold_of, out_of_fold_mean, top_frequency
 from adlens.operators.lookups import few_keys, grouped_tables, join_lookup
-from adlens.operators.ordered import running
+from adlens.operators.ordered import hot_values, running
 
 TARGET = "clicked"
 TS = "timestamp"
@@ -45,6 +45,36 @@ def history_features(
     return key_features(df, key, suffix, target=target, row_id=row_id, hot_rows=hot_rows)
 
 
+def histories(
+    df: DataFrame,
+    keys: Mapping[str, str],
+    target: str = TARGET,
+    row_id: str = ROW_ID,
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """`history_features` of several keys, given with their suffixes. Heavy keys and the mean are read from `df` itself."""
+    hot = hot_values(df, list(keys), hot_rows)
+    return heavy_first(
+        df, list(keys), hot,
+        lambda out, key: key_features(
+            out, key, keys[key], target=target, row_id=row_id, hot_rows=hot_rows, hot=hot[key], source=df
+        ),
+    )
+
+
+def heavy_first(
+    df: DataFrame, keys: Sequence[str], hot: Mapping[str, list], add: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
+    """`add` for every key, its columns in the order of `keys`. Rows of heavy keys are sampled for their ranges and
+    written, so keys that have any come first: later, this would repeat and write the steps of the other keys."""
+    out, added = df, {}
+    for key in sorted(keys, key=lambda k: not hot[k]):
+        before = set(out.columns)
+        out = add(out, key)
+        added[key] = [c for c in out.columns if c not in before]
+    return out.select(*df.columns, *[c for key in keys for c in added[key]])
+
+
 def user_timeline(
     df: DataFrame,
     user: str = "user_id",

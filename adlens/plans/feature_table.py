@@ -97,13 +97,16 @@ def basic_features(df: DataFrame, options: FeatureOptions = FeatureOptions()) ->
     if TS in columns:
         keys = [k for k in KEYS if k in columns]
         hot = hot_values(df, keys, options.hot_rows)
-        for key in keys:
+
+        def add(out: DataFrame, key: str) -> DataFrame:
             suffix, activity, overall = KEYS[key]
-            df = history.key_features(
-                df, key, suffix, activity, overall, timeline=key == "user_id", compat=options.compat,
+            return history.key_features(
+                out, key, suffix, activity, overall, timeline=key == "user_id", compat=options.compat,
                 encode=key in fused_keys(source, options), target=options.target, row_id=options.row_id,
                 n_folds=options.n_folds, seed=options.seed, hot_rows=options.hot_rows, hot=hot[key], source=source,
             )
+
+        df = history.heavy_first(df, keys, hot, add)
         # Columns of the row itself come last, so that no shuffle carries them.
         df = temporal_features(df)
     if {"device", "placement"} <= columns:

@@ -28,18 +28,15 @@ _KEYS = {"user_id": "_user", "ad_id": "_ad", "device": "_device"}
 
 @case("hist_ctr", _history_sql("impressions", _KEYS), "impressions")
 def _(spark, sf):
-    df = fx.impressions(spark, sf)
-    out = df
-    for key, suffix in _KEYS.items():
-        out = history.history_features(out, key, suffix)
+    narrow = fx.impressions(spark, sf).select("impression_id", "timestamp", "clicked", *_KEYS)
+    out = history.histories(narrow, _KEYS)
     return rounded(out.select("impression_id", *[f"ctr_{k}{s}" for k, s in _KEYS.items()]))
 
 
 @case("hist_ctr_lines", _history_sql("line_labels", {"user_id": "_user", "device": "_device"}), "line_labels")
 def _(spark, sf):
-    out = fx.line_labels(spark, sf)
-    for key, suffix in (("user_id", "_user"), ("device", "_device")):
-        out = history.history_features(out, key, suffix)
+    narrow = fx.line_labels(spark, sf).select("impression_id", "timestamp", "clicked", "user_id", "device")
+    out = history.histories(narrow, {"user_id": "_user", "device": "_device"})
     return rounded(out.select("impression_id", "ctr_user_id_user", "ctr_device_device"))
 
 
