@@ -8,20 +8,24 @@ next. So that a tree needs a pass per level and not one per split, a pass adds u
 waits in the queue, not just of the first; the trees are the same as without that look ahead.
 
 Margins are written every few rounds and computed from the trees since then in between, so no pass evaluates more
-than `write_every` trees. The loss on held-out rows comes with the first pass of the next tree. What the driver
-holds is bounded by leaves x features x bins, whatever the number of rows.
+than `write_every` trees, and only for rows whose sums are wanted. The loss on held-out rows comes with the first pass
+of the next tree. What the driver holds is bounded by leaves x features x bins, whatever the number of rows.
+
+Rows are stored in blocks: a record has the values of up to `BLOCK` rows, one column for each feature, so a pass hands
+over arrays and not rows, and reads only the features it asks for.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +34,8 @@ from pyspark.sql import functions as F
 from adlens.sources.materialise import materialise
 
 BINS = 255
+#: Rows of a record, and records that a pass works on at a time.
+BLOCK, RECORDS = 256, 256
 TREE_SCHEMA = "tree int, node int, feature int, threshold double, bin int, left int, right int, value double, gain double, rows double"
 META_SCHEMA = "base double, rounds int, features int"
 
@@ -82,7 +88,7 @@ def shape_of(nodes: Sequence[Node]) -> tuple[np.ndarray, ...]:
 
 
 def routes(shape: tuple[np.ndarray, ...], bins: np.ndarray) -> np.ndarray:
-    """The leaf of each row, all rows one level at a time."""
+    """The leaf of each row, all rows one level at a time: the plain form of `reached`."""
     feature, cut, left, right = shape
     at = np.zeros(len(bins), np.int64)
     moving = np.flatnonzero(left[at] >= 0)
@@ -94,10 +100,57 @@ def routes(shape: tuple[np.ndarray, ...], bins: np.ndarray) -> np.ndarray:
     return at
 
 
-def margins_of(trees: Sequence[Sequence[Node]], bins: np.ndarray, start: np.ndarray) -> np.ndarray:
+Tables = tuple[list[tuple[int, np.ndarray]], np.ndarray]
+
+
+def reach_tables(nodes: Sequence[Node], leaves: Sequence[int]) -> Tables:
+    """For every feature that the tree asks, by bin, a bit for each of the `leaves` that its cuts leave open; and the
+    bits of all. A row is in the one leaf whose bit all features leave it, and in none of the `leaves` without a bit."""
+    words, place = max(1, -(-len(leaves) // 64)), {k: i for i, k in enumerate(leaves)}
+    cuts: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+
+    def visit(k: int) -> np.ndarray:
+        bits = np.zeros(words, np.uint64)
+        if nodes[k].left < 0:
+            if k in place:
+                bits[place[k] // 64] = np.uint64(1 << place[k] % 64)
+            return bits
+        left, right = visit(nodes[k].left), visit(nodes[k].right)
+        cuts.append((nodes[k].feature, nodes[k].bin, left, right))
+        return left | right
+
+    whole = visit(0)
+    tables = {f: np.repeat(whole[:, None], BINS + 1, axis=1) for f in sorted({c[0] for c in cuts})}
+    for f, cut, left, right in cuts:
+        tables[f][:, : cut + 1] &= ~right[:, None]
+        tables[f][:, cut + 1 :] &= ~left[:, None]
+    return list(tables.items()), whole
+
+
+def reached(tables: Tables, bins: Mapping[int, np.ndarray] | Sequence[np.ndarray], rows: int) -> np.ndarray:
+    """The number of each row's leaf in the list that `tables` were made for, -1 for other leaves."""
+    asked, whole = tables
+    out = np.full(rows, -1, np.int64)
+    for word in range(len(whole)):
+        bits = np.full(rows, whole[word])
+        for feature, table in asked:
+            bits &= table[word].take(bins[feature])
+        # One bit at most: its exponent is the place.
+        found = np.frexp(bits.astype(float))[1] - 1
+        out = np.where(found >= 0, found + 64 * word, out) if word else found.astype(np.int64)
+    return out
+
+
+def scorer(nodes: Sequence[Node]) -> tuple[Tables, np.ndarray]:
+    """Tables of all leaves of a tree, and their values."""
+    leaves = [k for k, n in enumerate(nodes) if n.left < 0]
+    return reach_tables(nodes, leaves), np.array([nodes[k].value for k in leaves])
+
+
+def margins_of(scorers: Sequence[tuple[Tables, np.ndarray]], bins: Mapping[int, np.ndarray] | Sequence[np.ndarray], start: np.ndarray) -> np.ndarray:
     out = start.copy()
-    for nodes in trees:
-        out += np.array([n.value for n in nodes])[routes(shape_of(nodes), bins)]
+    for tables, values in scorers:
+        out += values.take(reached(tables, bins, len(start)))
     return out
 
 
@@ -149,17 +202,20 @@ class LeafwiseModel:
 
     def margin(self, values: np.ndarray) -> np.ndarray:
         """Log-odds of rows of feature values."""
-        return margins_of(self.trees, binned(values, self.edges), np.full(len(values), self.base))
+        return self._margin([scorer(t) for t in self.trees], values)
+
+    def _margin(self, scorers: Sequence[tuple[Tables, np.ndarray]], values: np.ndarray) -> np.ndarray:
+        return margins_of(scorers, binned(values, self.edges).T, np.full(len(values), self.base))
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add `probability` and `prediction` to rows with a `features` vector."""
-        margin = self.margin
+        scorers, margin = [scorer(t) for t in self.trees], self._margin
 
         @F.pandas_udf("double")
         def rate(vectors: pd.Series) -> pd.Series:
             if not len(vectors):
                 return pd.Series([], dtype=float)
-            return pd.Series(1.0 / (1.0 + np.exp(-margin(np.stack(vectors.to_numpy())))))
+            return pd.Series(1.0 / (1.0 + np.exp(-margin(scorers, np.stack(vectors.to_numpy())))))
 
         scored = df.withColumn("_rate", rate(vector_to_array("features")))
         return scored.withColumns(
@@ -218,15 +274,36 @@ def bin_edges(rows: DataFrame, width: int, bins: int = BINS, accuracy: int = 10_
 
 def binned(values: np.ndarray, edges: Sequence[np.ndarray]) -> np.ndarray:
     """One byte per feature: bin k holds the values above edge k - 1, up to edge k."""
-    out = np.zeros(values.shape, np.uint8)
+    out = np.zeros(values.shape, np.uint8, order="F")
     for i, edge in enumerate(edges):
         out[:, i] = np.searchsorted(edge, values[:, i], side="left")
     return out
 
 
-def _cells(batch: pa.RecordBatch, width: int) -> np.ndarray:
-    raw = batch.column("bins")
-    return np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(len(raw), width)
+def blocked(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Values as records of the given lengths."""
+    ends = np.concatenate([[0], np.cumsum(lengths * values.itemsize)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def unblocked(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    """All values of a column of records, as they lie in memory."""
+    column = batch.column(name)
+    _, places, data = column.buffers()
+    wide = pa.types.is_large_binary(column.type)
+    ends = np.frombuffer(places, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(KINDS.get(name, np.uint8))
+
+
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same records, `RECORDS` at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, RECORDS):
+            yield batch.slice(at, RECORDS)
+
+
+#: Columns of a record besides `b0`, `b1`, ... of the features' bins; `held` and bins are bytes.
+KINDS = {"key": np.int64, "label": np.float64, "weight": np.float64, "held": np.uint8, "margin": np.float64}
 
 
 class LeafwiseTrainer:
@@ -247,60 +324,72 @@ class LeafwiseTrainer:
 
         def bin_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
+                if not batch.num_rows:
+                    continue
                 values = batch.column("v").values.to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(edges))
-                lines = binned(values, edges)
-                packed = pa.array([r.tobytes() for r in lines], pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(c) for c in ("_key", "label", "_weight", "_held")], pa.array(np.full(len(lines), base)), packed],
-                    ["key", "label", "weight", "held", "margin", "bins"],
-                )
+                whole, rest = divmod(batch.num_rows, BLOCK)
+                lengths = np.array([BLOCK] * whole + [rest] * (rest > 0))
+                own = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("_key", "label", "_weight", "_held")]
+                columns = [c.astype(k) for c, k in zip([*own, np.full(batch.num_rows, base)], KINDS.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays([blocked(c, lengths) for c in [*columns, *binned(values, edges).T]], names)
 
+        names = [*KINDS, *[f"b{i}" for i in range(width)]]
         narrow = rows.select("_key", "label", "_weight", "_held", vector_to_array("features").alias("v"))
-        self.schema = "key long, label double, weight double, held boolean, margin double, bins binary"
+        self.schema = ", ".join(f"{c} binary" for c in names)
         self.rows = materialise(narrow.mapInArrow(bin_rows, self.schema), "leafwise")
         self.trees: list[list[Node]] = []
-        self.since: list[list[Node]] = []
+        self.since: list[tuple[Tables, np.ndarray]] = []
 
     def write_margins(self) -> None:
-        since, width = self.since, self.width
+        since = self.since
+        asked = sorted({f for (tables, _), _ in since for f, _ in tables})
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                margin = margins_of(since, _cells(batch, width), batch.column("margin").to_numpy())
-                yield batch.set_column(4, "margin", pa.array(margin))
+            for batch in pieces(batches):
+                start = unblocked(batch, "margin")
+                margin = margins_of(since, {f: unblocked(batch, f"b{f}") for f in asked}, start)
+                lengths = pc.binary_length(batch.column("held")).to_numpy()
+                yield batch.set_column(batch.schema.get_field_index("margin"), "margin", blocked(margin, lengths))
 
         self.rows = materialise(self.rows.mapInArrow(run, self.schema), "leafwise")
         self.since = []
 
     def sums(self, nodes: list[Node], wanted: list[int], features: list[int], tree: int, loss: bool) -> tuple[dict, tuple[float, float]]:
         """Sums (feature, bin, 3) of gradient, hessian and rows by wanted leaf; and loss and weight of held-out rows."""
-        since, width, options, scale = self.since, self.width, self.options, self.scale
-        shape, place = shape_of(nodes), np.full(len(nodes), -1)
-        place[wanted] = range(len(wanted))
+        since, options, scale = self.since, self.options, self.scale
+        own_tree = reach_tables(nodes, wanted)
+        scored = {f for (tables, _), _ in since for f, _ in tables}
+        asked = sorted(scored | {f for f, _ in own_tree[0]} | set(features))
 
         def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = np.zeros((len(wanted), len(features), BINS + 1, 3))
+            own = np.zeros((len(features), 3, len(wanted) * (BINS + 1)))
             held_out = np.zeros(2)
-            for batch in batches:
-                bins = _cells(batch, width)
-                held = batch.column("held").to_numpy(zero_copy_only=False)
-                label, weight = batch.column("label").to_numpy(), batch.column("weight").to_numpy()
-                margin = margins_of(since, bins, batch.column("margin").to_numpy())
+            for batch in pieces(batches):
+                key, label, weight, held, margin = (unblocked(batch, c) for c in KINDS)
+                bins = {f: unblocked(batch, f"b{f}") for f in asked}
+
+                def margins(at: np.ndarray) -> np.ndarray:
+                    return margins_of(since, {f: bins[f][at] for f in scored}, margin[at])
+
                 if loss and held.any():
-                    signed = np.where(label[held] > 0.5, -margin[held], margin[held])
-                    held_out += (weight[held] * np.logaddexp(0.0, signed)).sum(), weight[held].sum()
-                used = ~held & (mixed(batch.column("key").to_numpy(), options.seed + 1000 * tree) < options.subsample)
-                leaf = np.full(len(bins), -1)
-                leaf[used] = place[routes(shape, bins[used])]
-                used = leaf >= 0
-                if not used.any():
+                    at = np.flatnonzero(held)
+                    signed = margins(at)
+                    signed = np.where(label[at] > 0.5, -signed, signed)
+                    held_out += (weight[at] * np.logaddexp(0.0, signed)).sum(), weight[at].sum()
+                if not wanted:
+                    continue
+                leaf = reached(own_tree, bins, len(key))
+                used = np.flatnonzero((leaf >= 0) & (held == 0) & (mixed(key, options.seed + 1000 * tree) < options.subsample))
+                if not len(used):
                     continue
-                rate = 1.0 / (1.0 + np.exp(-margin[used]))
+                rate = 1.0 / (1.0 + np.exp(-margins(used)))
                 gradient, hessian = weight[used] * (rate - label[used]), weight[used] * rate * (1 - rate)
+                first = leaf[used] * (BINS + 1)
                 for j, f in enumerate(features):
-                    slot = leaf[used] * (BINS + 1) + bins[used, f]
+                    slot = first + bins[f][used]
                     for k, value in enumerate((gradient, hessian, None)):
-                        own[:, j, :, k] += np.bincount(slot, value, len(wanted) * (BINS + 1)).reshape(len(wanted), BINS + 1)
+                        own[j, k] += np.bincount(slot, value, own.shape[2])
+            own = own.reshape(len(features), 3, len(wanted), BINS + 1).transpose(2, 0, 3, 1)
             at = np.nonzero(own[..., 2])
             cells = np.rint(own[at] * np.array([scale, scale, 1])).astype(np.int64)
             lines = [np.append(c, -1) for c in at]
@@ -311,7 +400,8 @@ class LeafwiseTrainer:
 
         cell, values = ["leaf", "line", "bin"], ["gradient", "hessian", "rows"]
         found = (
-            self.rows.mapInArrow(partial, "leaf int, line int, bin int, gradient long, hessian long, rows long")
+            self.rows.select(*KINDS, *[f"b{f}" for f in asked])
+            .mapInArrow(partial, "leaf int, line int, bin int, gradient long, hessian long, rows long")
             .groupBy(*cell)
             .agg(*[F.sum(v).alias(v) for v in values])
             .toArrow()  # size bound: leaves x features x bins
@@ -402,7 +492,7 @@ class LeafwiseTrainer:
                 if not np.isnan(loss) and len(losses) - 1 - int(np.argmin(losses)) >= self.options.patience:
                     break
             self.trees.append(nodes)
-            self.since.append(nodes)
+            self.since.append(scorer(nodes))
         else:
             _, (loss, weight) = self.sums([Node(0, 0, 0, 0)], [], [], 0, True)
             losses.append(loss / weight if weight else float("nan"))

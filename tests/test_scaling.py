@@ -40,3 +40,32 @@ def test_histories_of_several_keys_equal_one_after_the_other(log):
         out = history.histories(log, keys, hot_rows=hot_rows)
         assert out.columns == one.columns
         assert sorted(map(str, out.collect())) == sorted(map(str, one.collect()))
+
+
+def grown(rng, leaves, width):
+    nodes = [Node(0, 0.0, 0.0, 0.0)]
+    for _ in range(leaves - 1):
+        k = int(rng.choice([i for i, n in enumerate(nodes) if n.left < 0]))
+        nodes[k].feature, nodes[k].bin = int(rng.integers(width)), int(rng.integers(256))
+        nodes[k].left, nodes[k].right = len(nodes), len(nodes) + 1
+        nodes += [Node(0, 0.0, 0.0, 0.0), Node(0, 0.0, 0.0, 0.0)]
+    return nodes
+
+
+@pytest.mark.parametrize("leaves", [1, 2, 31, 64, 65, 150])
+def test_leaves_by_tables_equal_leaves_by_walking(leaves):
+    rng = np.random.default_rng(leaves)
+    nodes, bins = grown(rng, leaves, 4), rng.integers(0, 256, (3000, 4)).astype(np.uint8)
+    at = leafwise.routes(leafwise.shape_of(nodes), bins)
+    every = [k for k, n in enumerate(nodes) if n.left < 0]
+    for wanted in (every, every[::2]):
+        place = {k: i for i, k in enumerate(wanted)}
+        found = leafwise.reached(leafwise.reach_tables(nodes, wanted), bins.T, len(bins))
+        assert found.tolist() == [place.get(k, -1) for k in at.tolist()]
+
+
+def test_records_of_rows_give_their_values_back():
+    values = np.arange(11, dtype=float)
+    batch = pa.RecordBatch.from_arrays([leafwise.blocked(values, np.array([4, 4, 3]))], ["margin"])
+    assert leafwise.unblocked(batch, "margin").tolist() == values.tolist()
+    assert leafwise.unblocked(batch.slice(1, 2), "margin").tolist() == values[4:].tolist()
