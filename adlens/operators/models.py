@@ -47,6 +47,18 @@ def _training_rows(df: DataFrame, features: Sequence[str], target: str, *extra:
     return rows.select("features", F.col(target).cast("double").alias("label"), "_weight", *extra)
 
 
+#: Rows of a partition of a table that a fit reads over and over or keeps in memory, and those worth a task.
+FIT_ROWS, LEAST_ROWS = 500_000, 20_000
+
+
+def _even(rows: DataFrame) -> DataFrame:
+    """The rows in partitions of one size, none over `FIT_ROWS`: a fit takes as long as its largest partition, which
+    is as uneven as the files or keys the rows come from."""
+    n = rows.count()
+    parts = max(-(-n // FIT_ROWS), min(rows.sparkSession.sparkContext.defaultParallelism, -(-n // LEAST_ROWS)), 1)
+    return rows.repartition(parts)
+
+
 def train_logistic(
     df: DataFrame, features: Sequence[str], target: str = TARGET, max_iter: int = 1000
 ) -> PipelineModel:
@@ -81,13 +93,13 @@ def train_gbt(
     booster = GBTClassifier(
         featuresCol="features", labelCol="label", weightCol="_weight", maxDepth=max_depth,
         stepSize=step_size, maxIter=rounds, subsamplingRate=subsample,
-        featureSubsetStrategy=str(column_sample), seed=seed, cacheNodeIds=True,
+        featureSubsetStrategy=str(column_sample), seed=seed,
     )
     if not validation:
-        return booster.fit(_training_rows(df, features, target))
+        return booster.fit(_even(materialise(_training_rows(df, features, target), "boosting")))
     marked = F.coalesce(F.col(validation), F.lit(False))
     rows = materialise(_training_rows(df, features, target, marked.alias("_held")), "boosting")
-    train = rows.filter("NOT _held")
+    train = _even(rows.filter("NOT _held"))
     model = booster.fit(train)
     losses = model.evaluateEachIteration(rows.filter("_held"))
     best = best_round(losses, patience)

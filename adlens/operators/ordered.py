@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from adlens.operators.heavy import heavy_keys
 from adlens.sources.materialise import materialise
 
-HOT_ROWS = 5_000_000
+#: Rows of a key that one task may sort; their size, and so the memory of the task, depends on the columns.
+HOT_ROWS = 500_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> list:

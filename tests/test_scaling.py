@@ -19,6 +19,11 @@ def log(spark):
     )
 
 
+def test_a_key_that_one_task_should_not_sort_is_heavy(spark):
+    rows = spark.range(600_000).select(F.lit("mobile").alias("device"))
+    assert [r["device"] for r in ordered.hot_keys(rows, ["device"])] == ["mobile"]
+
+
 def test_written_rows_of_heavy_keys_carry_no_features_of_other_keys(log, monkeypatch):
     written = []
     keep = ordered.materialise
@@ -42,6 +47,17 @@ def test_histories_of_several_keys_equal_one_after_the_other(log):
         assert sorted(map(str, out.collect())) == sorted(map(str, one.collect()))
 
 
+def test_a_fit_reads_even_partitions(spark, monkeypatch):
+    monkeypatch.setattr(models, "FIT_ROWS", 100)
+    seen = []
+    keep = models.GBTClassifier.fit
+    monkeypatch.setattr(models.GBTClassifier, "fit", lambda self, df: seen.append(df.groupBy(F.spark_partition_id()).count().collect()) or keep(self, df))
+    rows = spark.range(1000).selectExpr("CAST(id % 7 AS DOUBLE) AS x", "CAST(id % 3 = 0 AS INT) AS clicked").coalesce(1)
+    models.train_gbt(rows, ["x"], rounds=1, max_depth=2)
+    counts = [r["count"] for r in seen[0]]
+    assert sum(counts) == 1000 and len(counts) == 10 and max(counts) <= 110
+
+
 def grown(rng, leaves, width):
     nodes = [Node(0, 0.0, 0.0, 0.0)]
     for _ in range(leaves - 1):
