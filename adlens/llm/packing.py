@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -32,19 +33,22 @@ LENGTH = 4096
 END_ID = 2
 #: About so many bytes of texts in a group, and of remembered words in a worker; forgetting these only costs time.
 GROUP_BYTES = 4 << 20
-KNOWN_BYTES = 96 << 20
-#: What a remembered word takes beside its bytes and ids: two objects and a place in a dictionary.
-WORD_COST = 180
+KNOWN_BYTES = 32 << 20
+#: What a remembered word takes beside its bytes and ids: where both begin, and when it was last used.
+WORD_COST = 24
 #: Words that go to the tokenizer as one text.
 TOGETHER = 2000
 #: Sequences of one group get numbers of their own below this.
 SEQUENCES = 1 << 24
-PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
 class WordEncoder:
     """Token ids of texts; each different chunk between ASCII white space is encoded once.
 
+    Texts are split and words numbered in Arrow; remembered words and their ids lie in two arrays, so that only new
+    words become Python objects.
+
     Right for tokenizers that drop white space and never look across it. If all ids that end a word are known by
     their `suffix`, plain words are encoded many at a time and the ids cut after each of these; marks behind a word
     are then encoded apart from it, as the tokenizer itself would split them.
@@ -63,35 +67,81 @@ class WordEncoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for word, number in self.tokenizer.get_vocab().items():
             self.ends[number] = word.endswith(suffix)
-        # Words of late, and those before them that were not asked for since: the rare ones go, the others stay.
-        self.known: dict[bytes, bytes] = {}
-        self.before: dict[bytes, bytes] = {}
-        self.size = 0
+        self.words = pa.array([], pa.large_string())
+        self.found = pa.array([], pa.large_binary())
+        self.used = np.zeros(0, np.int64)  # the call that last asked for a word
+        self.calls = 0
+        self.ending: dict[str, bool] = {}
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _chunks(self, text: bytes) -> list[bytes]:
-        # Special tokens are spelled in small letters; marks that compose with A-Z start with these two bytes.
-        if self.lowers and b"<|" not in text and b"\xcc" not in text and b"\xcd" not in text:
-            text = text.lower()
-        return text.split()
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        chunks = [self._chunks(t) for t in texts]
-        if self.size > KNOWN_BYTES // 2:
-            self.known, self.before, self.size = {}, self.known, 0
-        asked = set().union(*chunks).difference(self.known)
-        self.remember({w: self.before[w] for w in asked.intersection(self.before)})
-        self.learn(list(asked.difference(self.known)))
-        known = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(known, own)), np.uint32) for own in chunks]
-
-    def learn(self, new: list[bytes]) -> None:
-        parts = {chunk: self._parts(chunk) for chunk in new}
-        units = {u for p in parts.values() for u in p}.difference(self.known)
-        self.remember({u: self.before[u] for u in units.intersection(self.before)})
-        units.difference_update(self.known)
+    def _small(self, texts: pa.LargeStringArray) -> pa.LargeStringArray:
+        """A-Z as small letters, but in texts that may hold special tokens, which are spelled in small letters, or
+        marks that compose with A-Z, which start with these two bytes."""
+        if not self.lowers:
+            return texts
+        raw = texts.cast(pa.large_binary())
+        kept = [pc.match_substring(raw, mark) for mark in (b"<|", b"\xcc", b"\xcd")]
+        return pc.if_else(pc.or_(pc.or_(kept[0], kept[1]), kept[2]), texts, pc.ascii_lower(texts))
+
+    def encode(self, texts: pa.LargeStringArray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts on end, each with the end id behind it, and where each text begins, and the last ends."""
+        chunks = pc.ascii_split_whitespace(self._small(texts))
+        words = chunks.values.dictionary_encode()
+        units = self._units(words.dictionary).dictionary_encode()
+        ids = self.look_up(units.dictionary).take(units.indices)
+        ids = pa.concat_arrays([_spans(_offsets(ids)[::2], ids), pa.array([np.array([end_id], "<u4").tobytes()], ids.type)])
+        behind = np.asarray(chunks.offsets)
+        run = ids.take(pa.array(np.insert(words.indices, behind[1:], len(ids) - 1)))
+        bounds = _offsets(run)[behind + np.arange(len(behind))] // 4
+        return np.frombuffer(run.buffers()[2], "<u4", bounds[-1]), bounds
+
+    def _units(self, chunks: pa.LargeStringArray) -> pa.LargeStringArray:
+        """In turn the word of each chunk and the marks behind it, where the tokenizer splits there whatever they are;
+        else the whole chunk and nothing."""
+        words = pc.ascii_rtrim(chunks, PUNCTUATION)
+        begin, lengths = _offsets(chunks), np.asarray(pc.binary_length(words))
+        marked = pa.array(np.flatnonzero(lengths < np.diff(begin)), pa.int64())
+        last = pc.utf8_slice_codeunits(words.take(marked), -1).dictionary_encode()
+        ends = np.array([self._ends_word(c) for c in last.dictionary.to_pylist()], bool)[np.asarray(last.indices)]
+        ends &= ~pc.match_substring(chunks.take(marked), "<|").to_numpy(zero_copy_only=False)
+        split = np.asarray(marked)[ends]
+        cuts = np.repeat(begin, 2)[1:]
+        cuts[2 * split + 1] = begin[split] + lengths[split]
+        return _spans(cuts, chunks)
+
+    def _ends_word(self, char: str) -> bool:
+        """If the tokenizer splits between a word with this last character and a mark behind it."""
+        if char not in self.ending:
+            ids = self._ids(char)
+            self.ending[char] = bool(ids) and bool(self.ends[ids[-1]]) and self._ids(char + "!") == ids + self._ids("!")
+        return self.ending[char]
+
+    def look_up(self, units: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of different words and marks; those not remembered are learned."""
+        at = pc.index_in(units, value_set=self.words)
+        new = units.filter(at.is_null())
+        places = np.asarray(at.fill_null(-1)).astype(np.int64)
+        places[places < 0] = len(self.words) + np.arange(len(new))
+        found = pa.array(self.learn(_as_list(new)), self.found.type)
+        self.words, self.found = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.found, found])
+        self.used = np.append(self.used, np.zeros(len(new), np.int64))
+        self.calls += 1
+        self.used[places] = self.calls
+        ids = self.found.take(pa.array(places))
+        self.forget()
+        return ids
+
+    def forget(self) -> None:
+        """Drop the words that were not asked for longest, if all take more room than they may."""
+        cost = np.diff(_offsets(self.words)) + np.diff(_offsets(self.found)) + WORD_COST
+        if cost.sum() > KNOWN_BYTES:
+            late = np.argsort(-self.used, kind="stable")
+            kept = np.sort(late[np.cumsum(cost[late]) <= KNOWN_BYTES // 2])
+            self.words, self.found, self.used = self.words.take(pa.array(kept)), self.found.take(pa.array(kept)), self.used[kept]
+
+    def learn(self, units: list[bytes]) -> list[bytes]:
         small = [u for u in units if u.isalpha() and u.islower()]
         others = [u for u in units if not u.isascii() and u.decode().isalpha()]
         found = {}
@@ -100,25 +150,12 @@ class WordEncoder:
                 found |= self._together(words[k : k + TOGETHER], tokenizer)
         rest = [u for u in units if u not in found]
         for unit, ids in zip(rest, self.tokenizer.encode_batch_fast([u.decode() for u in rest], add_special_tokens=False), strict=True):
-            found[unit] = np.array(ids.ids, np.uint32).tobytes()
-        self.remember(found)
-        known = self.known
-        self.remember({chunk: b"".join([known[u] for u in own]) for chunk, own in parts.items() if len(own) > 1})
-
-    def remember(self, found: dict[bytes, bytes]) -> None:
-        self.known |= found
-        self.size += sum(map(len, found)) + sum(map(len, found.values())) + WORD_COST * len(found)
-
-    def _parts(self, chunk: bytes) -> tuple[bytes, ...]:
-        """The word and the marks behind it, where the tokenizer splits there whatever they are."""
-        word = chunk.rstrip(PUNCTUATION)
-        if not word or len(word) == len(chunk) or b"<|" in chunk or not word.decode()[-1].isalnum():
-            return (chunk,)
-        return word, chunk[len(word) :]
+            found[unit] = np.array(ids.ids, "<u4").tobytes()
+        return [found[u] for u in units]
 
     def _together(self, words: list[bytes], tokenizer: Tokenizer) -> dict[bytes, bytes]:
         """Ids of words of letters; nothing if the ids do not fall into as many words as went in."""
-        ids = np.array(tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, np.uint32)
+        ids = np.array(tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
         ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
         if len(ends) != len(words) or ends[-1] != 4 * len(ids):
             return {}
@@ -126,6 +163,23 @@ class WordEncoder:
         return {w: raw[a:b] for w, a, b in zip(words, [0, *ends[:-1]], ends, strict=True)}
 
 
+def _offsets(values: pa.LargeBinaryArray) -> np.ndarray:
+    """Where each value begins in the bytes, and the last ends."""
+    return np.frombuffer(values.buffers()[1], np.int64, len(values) + 1, 8 * values.offset) if len(values) else np.zeros(1, np.int64)
+
+
+def _spans(offsets: np.ndarray, values: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+    """The bytes of `values` cut at other places."""
+    places = pa.py_buffer(np.ascontiguousarray(offsets))
+    return pa.Array.from_buffers(values.type, len(offsets) - 1, [None, places, values.buffers()[2] or pa.py_buffer(b"")])
+
+
+def _as_list(chunks: pa.LargeStringArray) -> list[bytes]:
+    """The chunks, none of which holds a line feed."""
+    whole = pa.ListArray.from_arrays([0, len(chunks)], chunks.cast(pa.large_binary()))
+    return pc.binary_join(whole, pa.scalar(b"\n", pa.large_binary()))[0].as_py().split(b"\n") if len(chunks) else []
+
+
 @lru_cache(maxsize=1)
 def encoder_for(path: str) -> WordEncoder:
     """One encoder for all tasks that a worker runs."""
@@ -224,25 +278,24 @@ def pack(
     dealt = rows.withColumn("pack", F.pmod(place, F.lit(groups)))
 
     def packed(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        names, texts = table["doc_id"].to_pylist(), table["text"].cast(pa.binary()).to_pylist()
-        order = sorted(range(len(names)), key=lambda i: (names[i] is None, names[i] or 0, texts[i]))
-        encoder = encoder_for(tokenizer_path)
-        ids = [np.append(x, np.uint32(end_id)) for x in encoder.encode([texts[i] for i in order])]
-        pieces = pack_lengths([len(x) for x in ids], length)
-        cut = [ids[d][s : s + n].astype("<u4") for d, s, n, _, _ in pieces]
+        table = pa.table({"doc_id": table["doc_id"], "text": table["text"].cast(pa.large_string())})
+        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        ids, bounds = encoder_for(tokenizer_path).encode(table["text"].combine_chunks(), end_id)
+        sizes, starts = np.diff(bounds).tolist(), bounds.tolist()
+        pieces = pack_lengths(sizes, length)
+        cut = [ids[starts[d] + s : starts[d] + s + n] for d, s, n, _, _ in pieces]
         columns = {
-            "doc_id": table["doc_id"].take(pa.array([order[p[0]] for p in pieces], pa.int64())),
+            "doc_id": table["doc_id"].take(pa.array([p[0] for p in pieces], pa.int64())),
             "start": pa.array([p[1] for p in pieces], pa.int64()),
             "length": pa.array([p[2] for p in pieces], pa.int64()),
-            "ids_crc32": pa.array([zlib.crc32(x.tobytes()) for x in cut], pa.int64()),
-            "doc_tokens": pa.array([len(ids[p[0]]) for p in pieces], pa.int64()),
+            "ids_crc32": pa.array([zlib.crc32(x) for x in cut], pa.int64()),
+            "doc_tokens": pa.array([sizes[p[0]] for p in pieces], pa.int64()),
             "sequence_id": pa.array([key[0].as_py() * SEQUENCES + p[3] for p in pieces], pa.int64()),
             "offset": pa.array([p[4] for p in pieces], pa.int64()),
         }
         if with_ids:
             columns["ids"] = pa.array([x.astype(np.int64) for x in cut], pa.list_(pa.int64()))
-        del table, names, texts, ids, cut
+        del table, ids, cut
         give_back()
         return pa.table(columns)
 

@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -92,6 +93,59 @@ def test_packing_round_trip(spark):
     assert packing.pack(docs.limit(0), queries.tokenizer_path()).count() == 0
 
 
+def test_marks_behind_letters_that_end_in_a_combining_mark(spark):
+    texts = ["İ. x", "a İ!", "\u0958, y", "\ufb1d-", "«İ»."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = Tokenizer.from_file(queries.tokenizer_path())
+    parts: dict = {}
+    for r in packing.pack(docs, queries.tokenizer_path(), with_ids=True).collect():
+        parts.setdefault(r.doc_id, []).append((r.start, list(r.ids)))
+    assert sorted(parts) == list(range(len(texts)))
+    for i, text in enumerate(texts):
+        assert sum((ids for _, ids in sorted(parts[i])), []) == whole.encode(text, add_special_tokens=False).ids + [2]
+
+
+def _counting_encoder(monkeypatch):
+    encoder, learned = packing.WordEncoder(queries.tokenizer_path()), []
+    learn = encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda units: learned.extend(units) or learn(units))
+    return encoder, learned
+
+
+def test_words_are_encoded_once(monkeypatch):
+    """A worker keeps half a million words, each apart from the marks behind it."""
+    encoder, learned = _counting_encoder(monkeypatch)
+    letters = np.frombuffer(b"etaoinshrdlucmfw", np.uint8)
+    numbers = np.arange(500_000)
+    words = letters[(numbers[:, None] >> np.arange(0, 20, 4)) & 15].tobytes().decode()
+    words = [words[k : k + 5] for k in range(0, len(words), 5)]
+    for mark in ("", "!", ".,"):
+        for k in range(0, len(words), 100_000):
+            encoder.encode(pa.array([f"{mark} ".join(words[k : k + 100_000]) + mark], pa.large_string()), 2)
+        assert len(learned) == len(set(learned))
+    assert set(learned) - {b""} == {w.encode() for w in words} | {b"!", b".,"}
+
+
+def test_forgotten_words_are_learned_again(monkeypatch):
+    encoder, learned = _counting_encoder(monkeypatch)
+    monkeypatch.setattr(packing, "KNOWN_BYTES", 2000)
+    texts = [" ".join(f"word{k}x{j}, Zug" for j in range(40)) for k in range(5)]
+    for _ in range(2):
+        for text in texts:
+            ids, bounds = encoder.encode(pa.array([text, "", " ", text], pa.large_string()), 2)
+            expected = encoder.tokenizer.encode(text, add_special_tokens=False).ids + [2]
+            assert ids.tolist() == expected + [2, 2] + expected
+            assert bounds.tolist() == [0, len(expected), len(expected) + 1, len(expected) + 2, 2 * len(expected) + 2]
+    assert len(learned) > len(set(learned))
+
+
+def test_texts_without_words():
+    encoder = packing.WordEncoder(queries.tokenizer_path())
+    for texts, bounds in ((["", ""], [0, 1, 2]), ([" \n", "\x0b"], [0, 1, 2]), ([], [0])):
+        got = encoder.encode(pa.array(texts, pa.large_string()), 2)
+        assert (got[0].tolist(), got[1].tolist()) == ([2] * len(texts), bounds)
+
+
 def auc(score, label):
     ranks = np.argsort(np.argsort(score)) + 1
     ones = label == 1
